@@ -1,62 +1,63 @@
-"""Date columns stored as text: find the format of a whole column, then parse it."""
+"""Date columns stored as text: find the layout of a whole column, then parse it."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Accepted layouts in order of preference, with the matching parse pattern.
+# Accepted layouts in order of preference. Slash dates are day first.
 LAYOUTS = (
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$", "d/M/yyyy H:m"),
+    r"^\d{4}-\d{1,2}-\d{1,2}$",
+    r"^\d{1,2}/\d{1,2}/\d{4}$",
+    r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$",
 )
 # Text that stands for a missing date.
 NULL_TEXT = ("", "NaT", "nat", "NaN", "nan", "NULL", "null", "None", "N/A", "NA", "<NA>")
-# Mixed columns are read value by value; an ambiguous slash date is month first.
-_MIXED_EXTRA = (
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$", "M/d/yyyy H:m"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "M/d/yyyy H:m:s"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "d/M/yyyy H:m:s"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$", "yyyy-M-d H:m"),
-)
 
+_SLASH = r"^(\d{1,2})/(\d{1,2})/(\d{4})(| \d{1,2}:\d{1,2}(?::\d{1,2})?)$"
+_ANY = r"^(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}/\d{4})(?: \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"
 
-def _parse(text: Column, layout: str, pattern: str) -> Column:
-    """Wall clock of ``text`` in one layout, NULL otherwise. Slash dates are turned into ISO text and cast, which
-    is independent of the session time zone."""
-    day_first, month_first = pattern.startswith("d/"), pattern.startswith("M/")
-    if not day_first and not month_first:
-        iso = text
-    else:
-        order = r"$3-$2-$1$4" if day_first else r"$3-$1-$2$4"
-        iso = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})(.*)$", order)
-    with_seconds = F.when(iso.rlike(r":\d{1,2}$") & ~iso.rlike(r":\d{1,2}:\d{1,2}$"), F.concat(iso, F.lit(":00"))).otherwise(iso)
-    return F.when(text.rlike(layout), with_seconds.try_cast("timestamp_ntz"))
 
+def _wall(text: Column, slash_order: str) -> Column:
+    """Wall clock of an ISO or slash date. The text is turned into ISO form and cast, so the session time zone plays
+    no part; impossible dates are NULL."""
+    iso = F.regexp_replace(text, _SLASH, slash_order)
+    timed = F.regexp_replace(iso, r"^(\S+ \d{1,2}:\d{1,2})$", "$1:00")
+    return F.when(text.rlike(_ANY), timed.try_cast("timestamp_ntz"))
 
-def _mixed(text: Column) -> Column:
-    iso = [x for x in LAYOUTS if x[1].startswith("yyyy")]
-    slash = [x for x in LAYOUTS if not x[1].startswith("yyyy")]
-    return F.coalesce(*[_parse(text, rx, p) for rx, p in (*iso, *_MIXED_EXTRA, *slash)])
+
+def _day_first(text: Column) -> Column:
+    return _wall(text, "$3-$2-$1$4")
 
 
-def _missing(text: Column) -> Column:
-    return text.isNull() | text.isin(*NULL_TEXT)
+def _mixed(text: Column) -> Column:
+    """Value by value; an ambiguous slash date is month first."""
+    return F.coalesce(_wall(text, "$3-$1-$2$4"), _day_first(text))
 
 
 def date_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One aggregate row: per column, how many values each layout leaves unread and how many are null-like text."""
+    """One aggregate row: per column, how many values each layout leaves unread, how many the mixed reading leaves
+    unread, and how many are null-like text."""
+    facts = []
+    for i, c in enumerate(columns):
+        text = F.col(c)
+        layout = F.lit(None)
+        for j in reversed(range(len(LAYOUTS))):
+            layout = F.when(text.rlike(LAYOUTS[j]), F.lit(j)).otherwise(layout)
+        facts += [
+            F.when(_day_first(text).isNotNull(), layout).alias(f"layout{i}"),
+            _mixed(text).isNotNull().alias(f"mixed{i}"),
+            text.isin(*NULL_TEXT).alias(f"blank{i}"),
+        ]
     out = []
-    for c in columns:
-        text = F.col(c).cast("string")
-        out.append(F.count_if(text.isNotNull() & text.isin(*NULL_TEXT)).alias(f"{c}__nulltext"))
-        for i, (rx, p) in enumerate(LAYOUTS):
-            out.append(F.count_if(~_missing(text) & _parse(text, rx, p).isNull()).alias(f"{c}__{i}"))
-        out.append(F.count_if(~_missing(text) & _mixed(text).isNull()).alias(f"{c}__mixed"))
-    return df.agg(*out)
+    for i in range(len(columns)):
+        present = F.col(f"blank{i}") == F.lit(False)
+        out.append(F.count_if(F.col(f"blank{i}")).alias(f"blank{i}"))
+        out.append(F.count_if(present & ~F.col(f"mixed{i}")).alias(f"mixed{i}"))
+        for j in range(len(LAYOUTS)):
+            out.append(F.count_if(present & ~F.col(f"layout{i}").eqNullSafe(j)).alias(f"unread{i}_{j}"))
+    return df.select(*facts).agg(*out)
 
 
 def standardize_dates(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -66,18 +67,17 @@ def standardize_dates(df: DataFrame, columns: list[str]) -> DataFrame:
     as it is, and so do columns that are absent or already dates. One profiling pass over the data; a single row
     reaches the driver.
     """
-    texts = [c for c in columns if c in df.columns and dict(df.dtypes)[c] == "string"]
+    types = dict(df.dtypes)
+    texts = [c for c in columns if types.get(c) == "string"]
     if not texts:
         return df
     found = date_profile(df, texts).first()
     out = {}
-    for c in texts:
-        if found[f"{c}__nulltext"] > 1:
+    for i, c in enumerate(texts):
+        if found[f"blank{i}"] > 1:
             continue
-        text = F.col(c)
-        hit = next(((rx, p) for i, (rx, p) in enumerate(LAYOUTS) if found[f"{c}__{i}"] == 0), None)
-        if hit is not None:
-            out[c] = _parse(text, *hit)
-        elif found[f"{c}__mixed"] == 0:
-            out[c] = _mixed(text)
+        if any(found[f"unread{i}_{j}"] == 0 for j in range(len(LAYOUTS))):
+            out[c] = _day_first(F.col(c))
+        elif found[f"mixed{i}"] == 0:
+            out[c] = _mixed(F.col(c))
     return df.withColumns(out) if out else df
