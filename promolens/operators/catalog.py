@@ -13,6 +13,7 @@ from promolens.functions.rules import quantity_text
 from promolens.functions.text import catalog_name
 from promolens.functions.times import utc_wall_column
 from promolens.operators.lookup import fits
+from promolens.session import stage
 
 
 def catalog_items(products: DataFrame) -> DataFrame:
@@ -191,13 +192,12 @@ def requirement_lists(requirements: DataFrame) -> DataFrame:
 class Catalog:
     """Prepared catalogue frames of one run.
 
-    ``rule_rows`` has one row per condition row without the purchase-derived columns, so that the size check never
-    touches fact data. The checks run once, on first use.
+    Conditions and requirements are written once when the catalogue is built: several later steps read them, and
+    their derivation touches the purchase tables. The size checks run once, on first use, on the written tables.
     """
 
     products: DataFrame
     conditions: DataFrame
-    rule_rows: DataFrame
     requirements_all: DataFrame
     validity: DataFrame
     max_rows: int
@@ -213,16 +213,11 @@ class Catalog:
         combos: DataFrame,
         max_rows: int,
     ) -> "Catalog":
-        rule_rows = (
-            conditions.select("clave_grupo_condiciones", "clave_tipo_cantidad_condicion")
-            .join(groups.select("clave_grupo_condiciones"), "clave_grupo_condiciones", "left")
-            .join(quantity_types.select("clave_tipo_cantidad_condicion"), "clave_tipo_cantidad_condicion", "left")
-        )
+        validity = stage(validity, "validity")
         return cls(
             products=products,
-            conditions=promo_conditions(conditions, groups, validity, quantity_types),
-            rule_rows=rule_rows,
-            requirements_all=combo_requirements_all(combos),
+            conditions=stage(promo_conditions(conditions, groups, validity, quantity_types), "conditions"),
+            requirements_all=stage(combo_requirements_all(combos), "requirements"),
             validity=validity,
             max_rows=max_rows,
         )
@@ -242,7 +237,7 @@ class Catalog:
 
     @cached_property
     def rules_bounded(self) -> bool:
-        return fits(self.rule_rows, self.max_rows) and self.requirements_bounded
+        return fits(self.conditions, self.max_rows) and self.requirements_bounded
 
     @cached_property
     def requirements_bounded(self) -> bool:

@@ -69,26 +69,40 @@ def kpi_summary(kpis: DataFrame) -> DataFrame:
     return kpis.select((a - F.try_divide(b, c) * a).alias("KPI_sesiones_resumen"))
 
 
-def promo_row_flags(funnel: DataFrame, combos: DataFrame) -> DataFrame:
+# Up to this many combined ids are written into the expression as a hash set; beyond it they stay a subquery.
+INLINE_IDS = 20_000
+
+
+def promo_row_flags(funnel: DataFrame, combos: DataFrame, inline_ids: int = INLINE_IDS) -> DataFrame:
     """Row flags on the cart stage: any simple / combined id among the incomplete / complete promotions.
 
-    The combined ids form one array, computed once as a scalar subquery; rows without ids skip the comparison.
+    Membership is a hash lookup per id, with no join of the rows. When there are more combined ids than
+    ``inline_ids`` the same test runs against one array from a scalar subquery.
     """
-    ids = combos.select(F.col("clave_promocion").cast("bigint").alias("id")).agg(F.collect_set("id").alias("ids")).scalar()
+    ids = combos.select(F.col("clave_promocion").cast("bigint").alias("id")).dropna()
+    some = [r.id for r in ids.limit(inline_ids + 1).collect()]
+
+    if len(some) > inline_ids:
+        every = ids.agg(F.collect_set("id").alias("ids")).scalar()
+
+        def any_id(column: str, combined: bool) -> Column:
+            return F.exists(column, lambda x: F.array_contains(every, x) == F.lit(combined))
+    else:
+        known = ", ".join(f"{i}L" for i in some) or "NULL"
 
-    def simple(c: Column) -> Column:
-        return F.coalesce(F.when(F.size(c) > 0, F.size(F.array_except(c, ids)) > 0), F.lit(False))
+        def any_id(column: str, combined: bool) -> Column:
+            member = f"coalesce(x IN ({known}), false)"
+            return F.expr(f"exists({column}, x -> {member if combined else 'NOT ' + member})")
 
-    def combined(c: Column) -> Column:
-        return F.coalesce(F.when(F.size(c) > 0, F.arrays_overlap(c, ids)), F.lit(False))
+    def flag(column: str, combined: bool) -> Column:
+        return F.coalesce(any_id(column, combined), F.lit(False))
 
-    missing, complete = F.col("PROMOS_ADD_CART_INCOMPLETAS"), F.col("PROMOS_ADD_CART_COMPLETAS")
     return funnel.withColumns(
         {
-            "HAS_SIMPLE_INCOMPLETE": simple(missing),
-            "HAS_COMBINED_INCOMPLETE": combined(missing),
-            "HAS_SIMPLE_COMPLETA": simple(complete),
-            "HAS_COMBINED_COMPLETA": combined(complete),
+            "HAS_SIMPLE_INCOMPLETE": flag("PROMOS_ADD_CART_INCOMPLETAS", False),
+            "HAS_COMBINED_INCOMPLETE": flag("PROMOS_ADD_CART_INCOMPLETAS", True),
+            "HAS_SIMPLE_COMPLETA": flag("PROMOS_ADD_CART_COMPLETAS", False),
+            "HAS_COMBINED_COMPLETA": flag("PROMOS_ADD_CART_COMPLETAS", True),
         }
     )
 

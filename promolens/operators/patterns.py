@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.config import DESC_SEPARATOR, RunConfig
-from promolens.functions.rules import active, near_miss, quantity_rule
+from promolens.functions.rules import active, meets, rule_bounds
 from promolens.functions.text import clean_item, override_item
 from promolens.functions.times import days_between_dates, parse_time_text, utc_wall_column
 from promolens.operators.catalog import Catalog, catalog_items, combo_ids
@@ -93,21 +93,33 @@ def combo_session_complete(rows: DataFrame, catalog: Catalog) -> DataFrame:
     return flags.where(" or ".join(f"{s}_COMPLETE" for _, _, s, _ in STAGES))
 
 
+def _closed_window(start: str, end: str) -> tuple[Column, Column]:
+    """Validity ends without NULLs: an unknown window never opens."""
+    known = F.col(start).isNotNull() & F.col(end).isNotNull()
+    never, always = F.lit("9999-12-31").cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz")
+    return F.when(known, F.col(start)).otherwise(never), F.when(known, F.col(end)).otherwise(always)
+
+
 def product_rules(catalog: Catalog) -> DataFrame:
     """Per product: its simple conditions and its combined requirements, as two arrays."""
     conditions = catalog.conditions.where(
         F.col("clave_promocion").isNotNull() & F.col("clave_edicion_producto").isNotNull()
     ).join(combo_ids(catalog.requirements_all), "clave_promocion", "left_anti")
-    simple = conditions.groupBy("clave_edicion_producto").agg(
+    bounds = rule_bounds(
+        F.col("clave_tipo_cantidad_condicion"), F.col("cantidad_inicial"), F.col("cantidad_final")
+    )
+    start, end = _closed_window("d_inicio_promocion", "d_cierre_promocion")
+    simple = conditions.withColumn("_b", bounds).groupBy("clave_edicion_producto").agg(
         F.collect_list(
             F.struct(
                 F.col("clave_promocion").cast("bigint").alias("promo"),
-                F.col("clave_tipo_cantidad_condicion").alias("kind"),
-                F.col("cantidad_inicial").alias("n"),
-                F.col("cantidad_final").alias("m"),
+                "_b.lo",
+                "_b.hi",
+                "_b.step",
+                (F.col("cantidad_inicial") - 1).cast("bigint").alias("short"),
                 F.col("interpretacion").alias("text"),
-                F.col("d_inicio_promocion").alias("start"),
-                F.col("d_cierre_promocion").alias("end"),
+                start.alias("start"),
+                end.alias("end"),
             )
         ).alias("_simple")
     )
@@ -116,8 +128,8 @@ def product_rules(catalog: Catalog) -> DataFrame:
             F.struct(
                 F.col("clave_promocion").alias("promo"),
                 F.col("cantidad_requerida").alias("need"),
-                F.col("d_inicio_promocion").alias("start"),
-                F.col("d_cierre_promocion").alias("end"),
+                start.alias("start"),
+                end.alias("end"),
             )
         ).alias("_combined")
     )
@@ -130,11 +142,12 @@ def _ids(entries: Column) -> Column:
 
 def _id_set(*arrays: Column) -> Column:
     safe = [F.coalesce(a, F.array().cast(_NO_IDS)) for a in arrays]
-    return F.array_sort(F.array_distinct(F.concat(*safe)))
+    return F.sort_array(F.array_distinct(F.concat(*safe)))
 
 
 def _with_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
-    """Join the rule arrays and keep, per stage, the conditions met and the active near misses."""
+    """Join the rule arrays and keep, per stage, the conditions met, those of them in force, the near misses in force
+    and the owned combined promotions. Stages without units skip the evaluation."""
     joined = lookup_join(
         rows, product_rules(catalog), ["clave_edicion_producto"], "left", catalog.rules_bounded, _ROW
     ).withColumn("_at", parse_time_text(F.col("DATETIME")))
@@ -148,37 +161,38 @@ def _with_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
         {"_simple": F.when(usable, F.col("_simple")), "_combined": F.when(usable, F.col("_combined"))}
     )
 
-    def met(qty: str) -> Column:
-        return F.filter("_simple", lambda c: quantity_rule(F.col(qty), c["kind"], c["n"], c["m"]))
-
-    def short(qty: str) -> Column:
-        return F.filter(
-            "_simple",
-            lambda c: near_miss(F.col(qty), c["n"])
-            & (F.col(qty) > 0)
-            & ~quantity_rule(F.col(qty), c["kind"], c["n"], c["m"])
-            & active(F.col("_at"), c["start"], c["end"]),
+    def in_force(c: Column) -> Column:
+        return (c["start"] <= F.col("_at")) & (F.col("_at") <= c["end"])
+
+    def met(qty: Column) -> Column:
+        return F.when(qty != 0, F.filter("_simple", lambda c: meets(qty, c["lo"], c["hi"], c["step"])))
+
+    def near(qty: Column) -> Column:
+        return F.when(
+            qty > 0,
+            _ids(
+                F.filter(
+                    "_simple",
+                    lambda c: (qty == c["short"]) & in_force(c) & ~meets(qty, c["lo"], c["hi"], c["step"]),
+                )
+            ),
         )
 
-    def owned(qty: str) -> Column:
-        units = F.coalesce(F.col(qty), F.lit(0))
-        return _ids(
-            F.filter("_combined", lambda c: (units >= c["need"]) & active(F.col("_at"), c["start"], c["end"]))
-        )
-
-    out = {}
-    for qty, _, stage, _ in STAGES:
-        out[f"_met_{stage}"], out[f"_near_{stage}"], out[f"_own_{stage}"] = met(qty), short(qty), owned(qty)
-    return joined.withColumns(out).drop("_simple", "_combined")
-
+    def owned(qty: Column) -> Column:
+        units = F.coalesce(qty, F.lit(0))
+        return _ids(F.filter("_combined", lambda c: (units >= c["need"]) & in_force(c)))
 
-def _live(stage: str) -> Column:
-    return F.filter(f"_met_{stage}", lambda c: active(F.col("_at"), c["start"], c["end"]))
+    out, live = {}, {}
+    for name, _, stage, _ in STAGES:
+        qty = F.col(name)
+        out[f"_met_{stage}"], out[f"_near_{stage}"], out[f"_own_{stage}"] = met(qty), near(qty), owned(qty)
+        live[f"_live_{stage}"] = F.filter(f"_met_{stage}", in_force)
+    return joined.withColumns(out).withColumns(live).drop("_simple", "_combined")
 
 
 def _texts(entries: Column) -> Column:
     named = F.filter(F.transform(entries, lambda c: c["text"]), lambda t: t.isNotNull() & (t != ""))
-    return F.coalesce(F.array_join(F.array_sort(F.array_distinct(named)), DESC_SEPARATOR), F.lit(""))
+    return F.coalesce(F.array_join(F.sort_array(F.array_distinct(named)), DESC_SEPARATOR), F.lit(""))
 
 
 def simple_promos(rows: DataFrame, catalog: Catalog) -> DataFrame:
@@ -186,11 +200,11 @@ def simple_promos(rows: DataFrame, catalog: Catalog) -> DataFrame:
     ruled = _with_rules(rows, catalog)
     out = {}
     for _, _, stage, _ in STAGES:
-        met, near = F.col(f"_met_{stage}"), F.col(f"_near_{stage}")
-        out[f"PROMOS_{stage}_COMPLETAS"] = _id_set(_ids(_live(stage)))
-        out[f"PROMOS_{stage}_INCOMPLETAS"] = _id_set(_ids(near))
-        out[f"PROMOS_{stage}_TODAS"] = _id_set(_ids(met), _ids(near))
-        out[f"DESC_{stage}_COMPLETAS"] = _texts(_live(stage))
+        met, live, near = F.col(f"_met_{stage}"), F.col(f"_live_{stage}"), F.col(f"_near_{stage}")
+        out[f"PROMOS_{stage}_COMPLETAS"] = _id_set(_ids(live))
+        out[f"PROMOS_{stage}_INCOMPLETAS"] = _id_set(near)
+        out[f"PROMOS_{stage}_TODAS"] = _id_set(_ids(met), near)
+        out[f"DESC_{stage}_COMPLETAS"] = _texts(live)
     return _finish(ruled.withColumns(out))
 
 
@@ -234,11 +248,11 @@ def patterns(rows: DataFrame, catalog: Catalog) -> DataFrame:
     sets = {}
     for _, _, stage, _ in STAGES:
         complete, incomplete = _combined_sets(stage)
-        met, near = F.col(f"_met_{stage}"), F.col(f"_near_{stage}")
-        sets[f"PROMOS_{stage}_COMPLETAS"] = _id_set(_ids(_live(stage)), complete)
-        sets[f"PROMOS_{stage}_INCOMPLETAS"] = _id_set(_ids(near), incomplete)
-        sets[f"PROMOS_{stage}_TODAS"] = _id_set(_ids(met), _ids(near), F.col(f"_own_{stage}"))
-        sets[f"DESC_{stage}_COMPLETAS"] = _texts(_live(stage))
+        met, live, near = F.col(f"_met_{stage}"), F.col(f"_live_{stage}"), F.col(f"_near_{stage}")
+        sets[f"PROMOS_{stage}_COMPLETAS"] = _id_set(_ids(live), complete)
+        sets[f"PROMOS_{stage}_INCOMPLETAS"] = _id_set(near, incomplete)
+        sets[f"PROMOS_{stage}_TODAS"] = _id_set(_ids(met), near, F.col(f"_own_{stage}"))
+        sets[f"DESC_{stage}_COMPLETAS"] = _texts(live)
     flags = {
         f"PATRON_{flag}": F.when(F.size(f"PROMOS_{stage}_COMPLETAS") > 0, "SI").otherwise("NO")
         for _, flag, stage, _ in STAGES
