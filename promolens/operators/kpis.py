@@ -86,7 +86,9 @@ def promo_row_flags(funnel: DataFrame, combos: DataFrame, inline_ids: int = INLI
         every = ids.agg(F.collect_set("id").alias("ids")).scalar()
 
         def any_id(column: str, combined: bool) -> Column:
-            return F.exists(column, lambda x: F.array_contains(every, x) == F.lit(combined))
+            ids_of_row = F.col(column)
+            hit = F.arrays_overlap(ids_of_row, every) if combined else F.size(F.array_except(ids_of_row, every)) > 0
+            return F.when(F.size(ids_of_row) > 0, hit)
     else:
         known = ", ".join(f"{i}L" for i in some) or "NULL"
 
