@@ -1,9 +1,10 @@
 """Promotion detection on attempts.
 
-Rules travel to the rows: all conditions of a product form one array that is joined to the attempts (broadcast
-after a size check), and every stage is evaluated with array functions. No row is multiplied and nothing is
-regrouped, so simple promotions need no shuffle of the attempts at all. Combined promotions need the session
-totals; these are reduced to one short row per session that closes at least one of them.
+Rules travel to the rows: when the catalogue passes its size check, all conditions of a product form one array that
+is broadcast to the attempts, and every stage is evaluated with array functions. No row is multiplied and nothing is
+regrouped, so simple promotions need no shuffle of the attempts at all. A larger catalogue takes a salted join
+instead. Combined promotions need the session totals; these are reduced to one short row per session that closes at
+least one of them.
 """
 
 from __future__ import annotations
@@ -100,39 +101,48 @@ def _closed_window(start: str, end: str) -> tuple[Column, Column]:
     return F.when(known, F.col(start)).otherwise(never), F.when(known, F.col(end)).otherwise(always)
 
 
-def product_rules(catalog: Catalog) -> DataFrame:
-    """Per product: its simple conditions and its combined requirements, as two arrays."""
-    conditions = catalog.conditions.where(
-        F.col("clave_promocion").isNotNull() & F.col("clave_edicion_producto").isNotNull()
-    ).join(combo_ids(catalog.requirements_all), "clave_promocion", "left_anti")
+def simple_rules(catalog: Catalog) -> DataFrame:
+    """One row per simple condition, ready to be tested against a quantity and a time."""
     bounds = rule_bounds(
         F.col("clave_tipo_cantidad_condicion"), F.col("cantidad_inicial"), F.col("cantidad_final")
     )
     start, end = _closed_window("d_inicio_promocion", "d_cierre_promocion")
-    simple = conditions.withColumn("_b", bounds).groupBy("clave_edicion_producto").agg(
-        F.collect_list(
-            F.struct(
-                F.col("clave_promocion").cast("bigint").alias("promo"),
-                "_b.lo",
-                "_b.hi",
-                "_b.step",
-                (F.col("cantidad_inicial") - 1).cast("bigint").alias("short"),
-                F.col("interpretacion").alias("text"),
-                start.alias("start"),
-                end.alias("end"),
-            )
-        ).alias("_simple")
+    conditions = catalog.conditions.where(
+        F.col("clave_promocion").isNotNull() & F.col("clave_edicion_producto").isNotNull()
+    ).join(combo_ids(catalog.requirements_all), "clave_promocion", "left_anti")
+    return conditions.withColumn("_b", bounds).select(
+        "clave_edicion_producto",
+        F.col("clave_promocion").cast("bigint").alias("promo"),
+        "_b.lo",
+        "_b.hi",
+        "_b.step",
+        (F.col("cantidad_inicial") - 1).cast("bigint").alias("short"),
+        F.col("interpretacion").alias("text"),
+        start.alias("start"),
+        end.alias("end"),
     )
-    combined = catalog.requirements.groupBy("clave_edicion_producto").agg(
-        F.collect_list(
-            F.struct(
-                F.col("clave_promocion").alias("promo"),
-                F.col("cantidad_requerida").alias("need"),
-                start.alias("start"),
-                end.alias("end"),
-            )
-        ).alias("_combined")
+
+
+def combined_rules(catalog: Catalog) -> DataFrame:
+    """One row per requirement of a combined promotion."""
+    start, end = _closed_window("d_inicio_promocion", "d_cierre_promocion")
+    return catalog.requirements.select(
+        "clave_edicion_producto",
+        F.col("clave_promocion").alias("promo"),
+        F.col("cantidad_requerida").alias("need"),
+        start.alias("start"),
+        end.alias("end"),
     )
+
+
+def product_rules(catalog: Catalog) -> DataFrame:
+    """Per product: its simple conditions and its combined requirements, as two arrays. Only for a catalogue that
+    passed the size check, which also bounds the arrays."""
+    def packed(rules: DataFrame, name: str) -> DataFrame:
+        fields = [c for c in rules.columns if c != "clave_edicion_producto"]
+        return rules.groupBy("clave_edicion_producto").agg(F.collect_list(F.struct(*fields)).alias(name))
+
+    simple, combined = packed(simple_rules(catalog), "_simple"), packed(combined_rules(catalog), "_combined")
     return simple.join(combined, "clave_edicion_producto", "full")
 
 
@@ -145,51 +155,79 @@ def _id_set(*arrays: Column) -> Column:
     return F.sort_array(F.array_distinct(F.concat(*safe)))
 
 
+# Tests of one rule ``c`` (a struct or a mapping of columns) against a quantity and the time of the row.
+def _in_force(c) -> Column:
+    return (c["start"] <= F.col("_at")) & (F.col("_at") <= c["end"])
+
+
+def _met(c, qty: Column) -> Column:
+    return meets(qty, c["lo"], c["hi"], c["step"])
+
+
+def _near(c, qty: Column) -> Column:
+    return (qty == c["short"]) & _in_force(c) & ~_met(c, qty)
+
+
+def _owned(c, qty: Column) -> Column:
+    return (F.coalesce(qty, F.lit(0)) >= c["need"]) & _in_force(c)
+
+
 def _with_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
-    """Join the rule arrays and keep, per stage, the conditions met, those of them in force, the near misses in force
-    and the owned combined promotions. Stages without units skip the evaluation."""
-    joined = lookup_join(
-        rows, product_rules(catalog), ["clave_edicion_producto"], "left", catalog.rules_bounded, _ROW
-    ).withColumn("_at", parse_time_text(F.col("DATETIME")))
+    """Per stage, the conditions met, those of them in force, the near misses in force and the owned combined
+    promotions of every row. Rows without user, session, product or readable time match nothing."""
     usable = (
         F.col("USER").isNotNull()
         & F.col("SESION").isNotNull()
         & F.col("clave_edicion_producto").isNotNull()
         & F.col("_at").isNotNull()
     )
-    joined = joined.withColumns(
-        {"_simple": F.when(usable, F.col("_simple")), "_combined": F.when(usable, F.col("_combined"))}
-    )
-
-    def in_force(c: Column) -> Column:
-        return (c["start"] <= F.col("_at")) & (F.col("_at") <= c["end"])
-
-    def met(qty: Column) -> Column:
-        return F.when(qty != 0, F.filter("_simple", lambda c: meets(qty, c["lo"], c["hi"], c["step"])))
-
-    def near(qty: Column) -> Column:
-        return F.when(
-            qty > 0,
-            _ids(
-                F.filter(
-                    "_simple",
-                    lambda c: (qty == c["short"]) & in_force(c) & ~meets(qty, c["lo"], c["hi"], c["step"]),
-                )
-            ),
-        )
+    timed = rows.withColumn("_at", parse_time_text(F.col("DATETIME"))).withColumn("_at", F.when(usable, F.col("_at")))
+    return _with_packed_rules(timed, catalog) if catalog.rules_bounded else _with_joined_rules(timed, catalog)
 
-    def owned(qty: Column) -> Column:
-        units = F.coalesce(qty, F.lit(0))
-        return _ids(F.filter("_combined", lambda c: (units >= c["need"]) & in_force(c)))
 
+def _with_packed_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
+    """Rules as arrays next to the row. Stages without units skip the evaluation, and nothing is shuffled."""
+    joined = rows.join(F.broadcast(product_rules(catalog)), "clave_edicion_producto", "left")
+    joined = joined.withColumns(
+        {c: F.when(F.col("_at").isNotNull(), F.col(c)) for c in ("_simple", "_combined")}
+    )
     out, live = {}, {}
     for name, _, stage, _ in STAGES:
         qty = F.col(name)
-        out[f"_met_{stage}"], out[f"_near_{stage}"], out[f"_own_{stage}"] = met(qty), near(qty), owned(qty)
-        live[f"_live_{stage}"] = F.filter(f"_met_{stage}", in_force)
+        out[f"_met_{stage}"] = F.when(qty != 0, F.filter("_simple", lambda c: _met(c, qty)))
+        out[f"_near_{stage}"] = F.when(qty > 0, _ids(F.filter("_simple", lambda c: _near(c, qty))))
+        out[f"_own_{stage}"] = _ids(F.filter("_combined", lambda c: _owned(c, qty)))
+        live[f"_live_{stage}"] = F.filter(f"_met_{stage}", _in_force)
     return joined.withColumns(out).withColumns(live).drop("_simple", "_combined")
 
 
+def _with_joined_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
+    """The same columns for a catalogue of any size: a salted join with the rule rows, only the hits of a row are
+    collected, and they come back by the key of the row."""
+    keys = [*_ROW, "clave_edicion_producto"]
+    narrow = rows.where(F.col("_at").isNotNull()).select(*keys, "_at", *[q for q, _, _, _ in STAGES])
+    parts = []
+    for rules, combined in ((simple_rules(catalog), False), (combined_rules(catalog), True)):
+        c = {name: F.col(name) for name in rules.columns}
+        entry = F.struct("promo", (F.lit(None).cast("string").alias("text") if combined else F.col("text")))
+        hits = {}
+        for name, _, stage, _ in STAGES:
+            qty = F.col(name)
+            some = F.coalesce(qty != 0, F.lit(False))
+            met = F.lit(False) if combined else some & _met(c, qty)
+            near = F.lit(False) if combined else (qty > 0) & _near(c, qty)
+            hits[f"_met_{stage}"] = F.when(met, entry)
+            hits[f"_live_{stage}"] = F.when(met & _in_force(c), entry)
+            hits[f"_near_{stage}"] = F.when(near, F.col("promo"))
+            hits[f"_own_{stage}"] = F.when(_owned(c, qty) if combined else F.lit(False), F.col("promo"))
+        found = lookup_join(narrow, rules, ["clave_edicion_producto"], "inner", False, _ROW)
+        parts.append(found.select(*keys, *[v.alias(k) for k, v in hits.items()]))
+    names = [c for c in parts[0].columns if c not in keys]
+    every = parts[0].unionByName(parts[1]).where(" or ".join(f"{c} is not null" for c in names))
+    collected = every.groupBy(*keys).agg(*[F.collect_set(c).alias(c) for c in names])
+    return rows.join(collected, keys, "left")
+
+
 def _texts(entries: Column) -> Column:
     named = F.filter(F.transform(entries, lambda c: c["text"]), lambda t: t.isNotNull() & (t != ""))
     return F.coalesce(F.array_join(F.sort_array(F.array_distinct(named)), DESC_SEPARATOR), F.lit(""))

@@ -33,6 +33,12 @@ def local_session(app: str = "promolens", cpus: str = "8", **conf: str) -> Spark
     return builder.getOrCreate()
 
 
+def apply_recommended(spark: SparkSession) -> None:
+    """Set the recommended SQL options on a running session."""
+    for key, value in RECOMMENDED.items():
+        spark.conf.set(key, value)
+
+
 def work_dir(spark: SparkSession) -> str:
     """A fresh folder under ``spark.checkpoint.dir``; a temporary one only for an unset local session."""
     base = spark.conf.get("spark.checkpoint.dir", None)
