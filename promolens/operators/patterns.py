@@ -250,15 +250,16 @@ def _finish(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
-def _with_sessions(ruled: DataFrame, complete: DataFrame) -> DataFrame:
-    """Add, per stage, the combined promotions that the row's session completes."""
+def _with_sessions(rows: DataFrame, complete: DataFrame) -> DataFrame:
+    """Add, per stage, the combined promotions that the row's session completes. Joined before the rules, so that the
+    shuffle on (user, session) moves plain rows and not their rule arrays."""
     closed = complete.groupBy("USER", "SESION").agg(
         *[
             F.collect_set(F.when(F.col(f"{s}_COMPLETE"), F.col("clave_promocion"))).alias(f"_closed_{s}")
             for _, _, s, _ in STAGES
         ]
     )
-    return ruled.join(closed, ["USER", "SESION"], "left")
+    return rows.join(closed, ["USER", "SESION"], "left")
 
 
 def _combined_sets(stage: str) -> tuple[Column, Column]:
@@ -270,7 +271,7 @@ def _combined_sets(stage: str) -> tuple[Column, Column]:
 
 def combo_promos(rows: DataFrame, catalog: Catalog) -> DataFrame:
     """Combined promotions only. A row counts when its own quantity reaches its product's requirement."""
-    ruled = _with_sessions(_with_rules(rows, catalog), combo_session_complete(rows, catalog))
+    ruled = _with_rules(_with_sessions(rows, combo_session_complete(rows, catalog)), catalog)
     out = {}
     for _, _, stage, _ in STAGES:
         complete, incomplete = _combined_sets(stage)
@@ -282,7 +283,7 @@ def combo_promos(rows: DataFrame, catalog: Catalog) -> DataFrame:
 
 def patterns(rows: DataFrame, catalog: Catalog) -> DataFrame:
     """Pattern table: simple and combined promotions per row and stage, plus the summary flags."""
-    ruled = _with_sessions(_with_rules(rows, catalog), combo_session_complete(rows, catalog))
+    ruled = _with_rules(_with_sessions(rows, combo_session_complete(rows, catalog)), catalog)
     sets = {}
     for _, _, stage, _ in STAGES:
         complete, incomplete = _combined_sets(stage)

@@ -139,6 +139,20 @@ def test_random_rows_match_brute_force_on_both_lookup_paths(spark, max_rows):
             assert set(r[f"PROMOS_{s}_COMPLETAS"]) <= set(r[f"PROMOS_{s}_TODAS"])
 
 
+def test_both_rule_paths_agree_on_texts_and_flags(spark):
+    rng = random.Random(5)
+    conditions = [(p, rng.randint(1, 3), rng.randint(1, 8), rng.randint(0, 3), None) for p in range(1, 20)]
+    rows = [row(p, *[rng.choice([None, 0, 1, 2, 3, 4]) for _ in range(3)], session=s) for p in (1, 2, 3) for s in range(9)]
+    results = []
+    for max_rows in (200_000, 0):
+        c = catalog(spark, conditions, [(30, 1, 1), (30, 2, 2)], [(p, *ALWAYS) for p in (*range(1, 20, 2), 30)], max_rows=max_rows)
+        df = spark.createDataFrame(rows, ROWS)
+        every = [pat.patterns(df, c), pat.simple_promos(df, c), pat.combo_promos(df, c)]
+        results.append([sorted(str(r.asDict()) for r in x.select(sorted(x.columns)).collect()) for x in every])
+    assert results[0] == results[1]
+    assert any("unidades" in r for r in results[0][1])
+
+
 def test_enrichment_fans_out_on_equal_names_unless_told_otherwise(spark):
     import datetime as dt
 
