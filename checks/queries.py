@@ -364,7 +364,7 @@ def catalog_items(c: Chain) -> DataFrame:
 
 @query
 def promo_validity(c: Chain) -> DataFrame:
-    return _flat(c.catalog.validity)
+    return _flat(c.catalog.source_validity)
 
 
 @query

@@ -190,37 +190,32 @@ def requirement_lists(requirements: DataFrame) -> DataFrame:
 
 @dataclass
 class Catalog:
-    """Prepared catalogue frames of one run.
+    """Catalogue of one run: source frames, and the prepared frames that promotion detection reads.
 
-    Conditions and requirements are written once when the catalogue is built: several later steps read them, and
-    their derivation touches the purchase tables. The size checks run once, on first use, on the written tables.
+    A prepared frame is written once, on first use: several later steps read it, and its derivation touches the
+    purchase tables. The size checks also run once, on the written tables.
     """
 
     products: DataFrame
-    conditions: DataFrame
-    requirements_all: DataFrame
-    validity: DataFrame
+    source_conditions: DataFrame
+    groups: DataFrame
+    quantity_types: DataFrame
+    source_validity: DataFrame
+    combos: DataFrame
     max_rows: int
 
-    @classmethod
-    def build(
-        cls,
-        products: DataFrame,
-        conditions: DataFrame,
-        groups: DataFrame,
-        quantity_types: DataFrame,
-        validity: DataFrame,
-        combos: DataFrame,
-        max_rows: int,
-    ) -> "Catalog":
-        validity = stage(validity, "validity")
-        return cls(
-            products=products,
-            conditions=stage(promo_conditions(conditions, groups, validity, quantity_types), "conditions"),
-            requirements_all=stage(combo_requirements_all(combos), "requirements"),
-            validity=validity,
-            max_rows=max_rows,
-        )
+    @cached_property
+    def validity(self) -> DataFrame:
+        return stage(self.source_validity, "validity")
+
+    @cached_property
+    def conditions(self) -> DataFrame:
+        prepared = promo_conditions(self.source_conditions, self.groups, self.validity, self.quantity_types)
+        return stage(prepared, "conditions")
+
+    @cached_property
+    def requirements_all(self) -> DataFrame:
+        return stage(combo_requirements_all(self.combos), "requirements")
 
     @property
     def requirements(self) -> DataFrame:

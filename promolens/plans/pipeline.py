@@ -46,12 +46,12 @@ def combos_of(t: CatalogTables) -> DataFrame:
 
 
 def prepare_catalog(t: CatalogTables, cfg: RunConfig) -> Catalog:
-    return Catalog.build(
+    return Catalog(
         products=t.sorteo,
-        conditions=t.condicion_promocion,
+        source_conditions=t.condicion_promocion,
         groups=t.grupo_condiciones_promocion,
         quantity_types=t.tipo_cantidad_promocion,
-        validity=promo_validity(t.compras, t.detalle_compra),
+        source_validity=promo_validity(t.compras, t.detalle_compra),
         combos=combos_of(t),
         max_rows=cfg.broadcast_rows,
     )

@@ -48,12 +48,12 @@ def catalog(spark, conditions=(), combos=(), validity=(), products=(), max_rows=
     conds = [(100 + p, prod, kind, n, m) for p, prod, kind, n, m in conditions]
     groups = sorted({(100 + p, p) for p, *_ in conditions})
     kinds = [(i, f"kind {i}") for i in range(1, 8)]
-    return Catalog.build(
+    return Catalog(
         products=spark.createDataFrame(list(products), PRODUCTS),
-        conditions=spark.createDataFrame(conds, CONDITIONS),
+        source_conditions=spark.createDataFrame(conds, CONDITIONS),
         groups=spark.createDataFrame(groups, "clave_grupo_condiciones bigint, clave_promocion bigint"),
         quantity_types=spark.createDataFrame(kinds, "clave_tipo_cantidad_condicion bigint, descripcion string"),
-        validity=spark.createDataFrame(
+        source_validity=spark.createDataFrame(
             [(p, dt.date.fromisoformat(a) if a else None, dt.datetime.fromisoformat(b) if b else None) for p, a, b in validity],
             VALIDITY,
         ),
