@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from promolens.llm.common import U64, Block, blocks
+from promolens.llm.common import U64, Block, blocks, keep
 
 MANIFEST = 255
 ROWS = pa.schema([("bucket", pa.int64()), ("block", pa.binary()), ("kind", pa.int32()), ("body", pa.binary())])
@@ -219,9 +219,10 @@ def marks(
     """(key, marks) of the texts that hold a repeated hash; texts without one are absent.
 
     ``make`` turns a block into a Cut; ``finish`` turns the states of a text's places into its marks. A text that
-    stands in several blocks gets equal marks in each and is returned once. ``aux`` tells which families carry aux.
+    stands in several blocks gets equal marks in each and is returned once. ``aux`` tells which families carry aux. The
+    marks are written, so that a join on the key shuffles both sides for itself and its hot keys can be split.
     """
     sent = df.mapInArrow(_send(make, bits, column), ROWS_DDL)
     told = sent.groupBy("bucket").applyInArrow(_answer(bits), ROWS_DDL)
     per_text = told.groupBy("block").applyInArrow(_gather(finish, aux), "key binary, marks binary")
-    return per_text.groupBy("key").agg({"marks": "max"}).withColumnRenamed("max(marks)", "marks")
+    return keep(per_text.groupBy("key").agg({"marks": "max"}).withColumnRenamed("max(marks)", "marks"), "marks")
