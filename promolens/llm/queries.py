@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from promolens.llm.bpe import op3_bpe
+from promolens.llm.packing import op4_packing
 from promolens.llm.substring_dedup import op1_substring_dedup
 from promolens.llm.suffix_dedup import op6_suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_bpe": op3_bpe,
+    "op4_packing": op4_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
 }
 
