@@ -6,12 +6,14 @@ from promolens.llm.bpe import op3_bpe
 from promolens.llm.packing import op4_packing
 from promolens.llm.substring_dedup import op1_substring_dedup
 from promolens.llm.suffix_dedup import op6_suffix_dedup
+from promolens.llm.warc import op8_warc
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op8_warc": op8_warc,
 }
 
 ORACLES: dict[str, str] = {}

@@ -68,8 +68,7 @@ def test_pieces_are_whole_and_gapless(make_docs, corpus):
             assert offset == at
             at += length
         assert at <= 1024
-    total = sum(r.length for r in rows)
-    assert len(by_sequence) <= -(-total // 1024) + 1
+    assert len(by_sequence) <= best_fit_decreasing([r.length for r in rows], 1024)
 
 
 def test_empty_table(make_docs):
