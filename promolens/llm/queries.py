@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from promolens.llm.bpe import op3_bpe
 from promolens.llm.packing import op4_packing
+from promolens.llm.pii import op9_pii
 from promolens.llm.substring_dedup import op1_substring_dedup
 from promolens.llm.suffix_dedup import op6_suffix_dedup
 from promolens.llm.warc import op8_warc
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op8_warc": op8_warc,
+    "op9_pii": op9_pii,
 }
 
 ORACLES: dict[str, str] = {}
