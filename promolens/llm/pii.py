@@ -184,19 +184,20 @@ def personal_data(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT)
 
 
 def redact(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
-    """``docs`` with every span replaced by the label of its kind; where spans overlap, the first one's label stays.
+    """``docs`` with every span replaced by the label of its kind; where spans overlap, the label of the
+    first one stays, of the longest if they start together.
 
     Texts without spans, nulls included, stay as they are, and so do all other columns.
     """
     spans = spans_by_text(docs, alpha, support).withColumnRenamed("key", "_key").withColumnRenamed("spans", "_spans")
-    ordered = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    ordered = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
     state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     labels = F.array(*(F.lit(LABELS[k]) for k in KINDS))
 
     def step(acc: Column, s: Column) -> Column:
         new = F.concat(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.element_at(labels, s["kind"] + 1))
-        return F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["parts"].alias("parts"))).otherwise(
-            F.struct(s["end"].alias("at"), F.concat(acc["parts"], F.array(new)).alias("parts"))
+        return F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], -s["back"]).alias("at"), acc["parts"].alias("parts"))).otherwise(
+            F.struct((-s["back"]).alias("at"), F.concat(acc["parts"], F.array(new)).alias("parts"))
         )
 
     finish = lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(F.col("text"), acc["at"] + 1, F.length("text")))

@@ -7,6 +7,7 @@ from promolens.llm.packing import op4_packing
 from promolens.llm.pii import op9_pii
 from promolens.llm.substring_dedup import op1_substring_dedup
 from promolens.llm.suffix_dedup import op6_suffix_dedup
+from promolens.llm.tool_chat import OP10_SQL, op10_tool_chat
 from promolens.llm.warc import op8_warc
 
 QUERIES = {
@@ -16,6 +17,9 @@ QUERIES = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
+    "op10_tool_chat": op10_tool_chat,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_tool_chat": OP10_SQL,
+}
