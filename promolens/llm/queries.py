@@ -5,6 +5,7 @@ from __future__ import annotations
 from promolens.llm.bpe import op3_bpe
 from promolens.llm.packing import op4_packing
 from promolens.llm.pii import op9_pii
+from promolens.llm.quality import op7_quality
 from promolens.llm.substring_dedup import op1_substring_dedup
 from promolens.llm.suffix_dedup import op6_suffix_dedup
 from promolens.llm.tool_chat import OP10_SQL, op10_tool_chat
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_quality": op7_quality,
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_tool_chat": op10_tool_chat,
