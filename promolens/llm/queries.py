@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from promolens.llm.bpe import op3_bpe
+from promolens.llm.lattice import OP5_SQL, op5_lattice
 from promolens.llm.packing import op4_packing
 from promolens.llm.pii import op9_pii
 from promolens.llm.quality import op7_quality
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
+    "op5_lattice": op5_lattice,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality": op7_quality,
     "op8_warc": op8_warc,
@@ -23,5 +25,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_lattice": OP5_SQL,
     "op10_tool_chat": OP10_SQL,
 }
