@@ -63,7 +63,7 @@ def cells(vectors: np.ndarray, maps: np.ndarray) -> np.ndarray:
             names.append([mix(((2 * p).astype(np.int64).astype(U64) * salt[8 * half : 8 * half + 8]).sum(1, dtype=U64)) for p in points])
         for i in (0, 1):
             for j in (0, 1):
-                out[:, 4 * t + 2 * i + j] = mix(names[0][i] + names[1][j] * salt[0] + U64(t + 1) * salt[1])
+                out[:, 4 * t + 2 * i + j] = mix(names[0][i] + names[1][j] * salt[0] + salt[1:2] * U64(t + 1))
     return out
 
 
