@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from promolens.llm.bpe import op3_bpe
+from promolens.llm.jaccard import op2_ngram_jaccard
 from promolens.llm.lattice import OP5_SQL, op5_lattice
 from promolens.llm.packing import op4_packing
 from promolens.llm.pii import op9_pii
@@ -14,6 +15,7 @@ from promolens.llm.warc import op8_warc
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
     "op5_lattice": op5_lattice,
