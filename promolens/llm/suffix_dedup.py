@@ -24,8 +24,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from promolens.llm import rounds
 from promolens.llm.common import (
@@ -48,7 +49,11 @@ THRESHOLD = 400
 REACH = 64
 STEP = 2 << 20
 _FACTORS = np.random.Generator(np.random.PCG64(7)).integers(0, 2**62, 64, dtype=np.int64).astype(U64) * U64(2) + U64(1)
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+
+
+def _parse(ddl: str) -> list[StructField]:
+    return StructType.fromDDL(ddl).fields
 
 
 def _pair(left: np.ndarray, right: np.ndarray, level: int) -> np.ndarray:
@@ -167,8 +172,8 @@ def _split(length: int):
                         open_[i] = np.stack([low[a:b][left], high[a:b][left], again], 1).astype(np.int32).tobytes()
             ids = pa.array([o is not None for o in open_])
             yield pa.record_batch(
-                [part.column("doc_id"), part.column("key"), part.column("text"), pa.array(spans, pa.binary()), pa.array(open_, pa.binary()), ids],
-                names=["doc_id", "key", "text", "spans", "open", "pending"],
+                [part.column("row"), part.column("key"), part.column("text"), pa.array(spans, pa.binary()), pa.array(open_, pa.binary()), ids],
+                names=["row", "key", "text", "spans", "open", "pending"],
             )
 
     return run
@@ -203,32 +208,27 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [bytes(view[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
         yield pa.record_batch(
             [
-                part.column("doc_id"),
+                part.column("row"),
                 pa.array(n_bytes),
                 pa.array(n_bytes - n_kept),
                 pa.array(np.array(counts, np.int64)),
                 pa.array(sha_slices(data, cuts)),
                 pa.array([k.decode("utf-8", "ignore") for k in kept]),
             ],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
+            names=["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
         )
 
 
-def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD, texts: bool = True) -> DataFrame:
-    """Remove every byte that a repeated string of ``threshold`` bytes covers (strings within one text).
-
-    Returns per input row doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the kept bytes) and, with ``texts``, the
-    kept text; where a cut leaves part of a character, that part is left out of the kept text. A null text counts as
-    empty; rows with equal texts are equal in all but doc_id; a null doc_id stays null. Other columns are not read.
-    ``threshold`` must be at least 144.
-    """
+def _deduped(docs: DataFrame, row: Column, threshold: int) -> DataFrame:
+    """``row`` of every row of ``docs``, a struct, with the results for its text beside it."""
     if threshold < 80 + REACH:
         raise ValueError("threshold must be at least 144")
     bits = bucket_bits(total_bytes(docs) // 16)
-    keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), text_key().alias("key"))
+    keyed = docs.select(row.alias("row"), F.coalesce("text", F.lit("")).alias("text"), text_key().alias("key"))
     told = _segment_marks(keyed.select("key", "text"), threshold, bits)
-    ddl = "doc_id long, key binary, text string, spans binary, open binary, pending boolean"
-    split = keep(keyed.join(told, "key", "left").select("doc_id", "key", "text", "marks").mapInArrow(_split(threshold), ddl), "suffix-split")
+    kind = StructType([StructField("row", keyed.schema["row"].dataType)])
+    middle = StructType(kind.fields + _parse("key binary, text string, spans binary, open binary, pending boolean"))
+    split = keep(keyed.join(told, "key", "left").select("row", "key", "text", "marks").mapInArrow(_split(threshold), middle), "suffix-split")
 
     def make(part: Block) -> rounds.Cut:
         places, again = _open_places(part)
@@ -241,11 +241,30 @@ def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD, texts: bool = True
 
     pending = split.filter("pending")
     more = rounds.marks(pending.select("key", "text", "open"), make, finish, bits).withColumnRenamed("marks", "more")
-    ready = split.filter("not pending").select("doc_id", "text", "spans", F.lit(None).cast("binary").alias("more"))
-    both = ready.unionByName(pending.join(more, "key", "left").select("doc_id", "text", "spans", "more"))
-    out = both.mapInArrow(_remove, RESULT)
+    ready = split.filter("not pending").select("row", "text", "spans", F.lit(None).cast("binary").alias("more"))
+    both = ready.unionByName(pending.join(more, "key", "left").select("row", "text", "spans", "more"))
+    return both.mapInArrow(_remove, StructType(kind.fields + _parse(RESULT)))
+
+
+def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD, texts: bool = True) -> DataFrame:
+    """Remove every byte that a repeated string of ``threshold`` bytes covers (strings within one text).
+
+    Returns per input row doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the kept bytes) and, with ``texts``, the
+    kept text; where a cut leaves part of a character, that part is left out of the kept text. A null text counts as
+    empty; rows with equal texts are equal in all but doc_id; a null doc_id stays null. Other columns are not read.
+    ``threshold`` must be at least 144.
+    """
+    out = _deduped(docs, F.struct(F.col("doc_id").cast("long").alias("doc_id")), threshold)
+    out = out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
     return out if texts else out.drop("kept")
 
 
+def without_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``docs`` with repeated strings cut out of the texts; null texts and all other columns stay."""
+    out = _deduped(docs, F.struct(*docs.columns, F.col("text").isNull().alias("_none")), threshold)
+    cut = F.when(~F.col("row._none"), F.col("kept"))
+    return out.select(*((cut if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), texts=False)

@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from promolens.llm.suffix_dedup import suffix_dedup
+from promolens.llm.suffix_dedup import suffix_dedup, without_repeats
 
 
 def brute(texts, length):
@@ -36,3 +36,12 @@ def test_edges(make_docs):
     assert sorted((r.doc_id or -1, r.n_removed) for r in rows) == [(-1, 500), (7, 0), (7, 500), (8, 0)]
     with pytest.raises(ValueError):
         suffix_dedup(make_docs(["a"]), 20)
+
+
+def test_other_columns_stay(make_docs):
+    df = make_docs(["ab" * 250 + "é tail", None, "head " + "ab" * 250, ""], [4, 7, 7, None])
+    out = without_repeats(df)
+    assert out.schema.names == df.columns
+    assert sorted(str((r.doc_id, r.text, r.n_chars, r.key)) for r in out.collect()) == sorted(
+        map(str, [(4, "é tail", 506, "x"), (7, None, 0, "x"), (7, "head ", 505, "x"), (None, "", 0, "x")])
+    )
