@@ -20,7 +20,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from promolens.llm import rounds
@@ -184,17 +185,38 @@ def _points(rule: Rule):
     return run
 
 
-def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut sorted points into tiles of one cluster and a bounded size; a tile's name is the uid of its first point."""
-    tile, cluster, rows, size = 0, None, 0, 0
-    for batch in batches:
-        tiles = []
-        for u, c, s in zip(*(batch.column(k).to_pylist() for k in (0, 1)), (len(s) for s in batch.column(4).to_pylist())):
-            if c != cluster or rows >= TILE_ROWS or size + s > TILE_BYTES:
-                tile, cluster, rows, size = u, c, 0, 0
-            rows, size = rows + 1, size + s
-            tiles.append(tile)
-        yield pa.record_batch([pa.array(tiles, pa.int64()), *batch.columns], names=["tile", *batch.schema.names])
+def _ranked(least: int):
+    """Add the partition and the cost of the points before each one among those of its cluster and partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, cluster, before = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            costs = []
+            for c, s in zip(batch.column(1).to_pylist(), batch.column(4)):
+                before = before if c == cluster else 0
+                cluster = c
+                costs.append((before, cost := max(len(s.as_buffer()), least)))
+                before += cost
+            if costs:
+                columns = [pa.array([part] * len(costs), pa.int64()), *(pa.array(list(c), pa.int64()) for c in zip(*costs))]
+                yield pa.record_batch([*columns, *batch.columns], names=["part", "before", "cost", *batch.schema.names])
+
+    return run
+
+
+def tiles_of(points: DataFrame, tile_rows: int) -> DataFrame:
+    """Points with the name of their tile: a run of sorted points of one cluster, about ``tile_rows`` points or TILE_BYTES
+    of shingles. The sort goes over all tasks; where a cluster spans partitions, the costs of the partitions before are
+    added, so the number of tiles does not depend on the number of partitions."""
+    tasks = max(points.sparkSession.sparkContext.defaultParallelism, points.count() // 50_000 + 1)
+    ranged = points.repartitionByRange(tasks, "cluster", "n", "counts", "uid").sortWithinPartitions("cluster", "n", "counts", "uid")
+    ranked = keep(ranged.mapInArrow(_ranked(TILE_BYTES // tile_rows), "part long, before long, cost long, " + POINTS), "ranked")
+    upto = Window.partitionBy("cluster").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = ranked.groupBy("cluster", "part").agg(F.sum("cost").alias("cost"))
+    runs = runs.select("cluster", "part", F.coalesce(F.sum("cost").over(upto), F.lit(0)).alias("earlier"))
+    joined = ranked.join(runs, ["cluster", "part"])
+    number = F.floor((F.col("before") + F.col("earlier")) / TILE_BYTES)
+    return joined.select(F.xxhash64("cluster", number).alias("tile"), *points.columns)
 
 
 def _counts(column: pa.Array) -> np.ndarray:
@@ -252,7 +274,7 @@ def _linked(rule: Rule):
     return run
 
 
-def shingle_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+def shingle_groups(docs: DataFrame, rule: Rule = Rule(), tile_rows: int = TILE_ROWS) -> DataFrame:
     """(key, uid, n_shingles, root): per text the smallest doc_id with its set, the set's size, and its group's root uid.
 
     ``uid`` and ``root`` are doc_ids; texts whose rows all lack one are left out, as are texts without words.
@@ -281,9 +303,7 @@ def shingle_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     member = sets.join(clusters, "uid").select("key", "uid", "cluster")
     held = text.select("key", "text").join(member, "key").dropDuplicates(["key"])
     points = keep(held.select("uid", "cluster", "text").mapInArrow(_points(rule), POINTS), "points")
-    tasks = max(points.sparkSession.sparkContext.defaultParallelism, points.count() // 50_000 + 1)
-    ranged = points.repartitionByRange(tasks, "cluster", "n", "counts", "uid").sortWithinPartitions("cluster", "n", "counts", "uid")
-    tiled = keep(ranged.mapInArrow(_tiled, "tile long, " + POINTS), "tiles")
+    tiled = keep(tiles_of(points, tile_rows), "tiles")
     tiles = keep(tiled.groupBy("tile").applyInArrow(_edges_of_tiles, "tile long, cluster long, top binary, least long, most long"), "tops")
     a, b = tiles.alias("a"), tiles.alias("b")
     fits = (F.col("a.cluster") == F.col("b.cluster")) & (F.col("a.tile") <= F.col("b.tile"))
@@ -297,7 +317,7 @@ def shingle_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     return keep(digests.join(rooted, ["digest", "digest2", "n_shingles"]).select("key", "uid", "n_shingles", "root"), "rooted")
 
 
-def ngram_jaccard(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+def ngram_jaccard(docs: DataFrame, rule: Rule = Rule(), tile_rows: int = TILE_ROWS) -> DataFrame:
     """Returns per input row doc_id, n_shingles, component_id for documents linked under ``rule``.
 
     Words are maximal runs without ASCII white space, A-Z lowered; a text with fewer words than a shingle is one shingle;
@@ -305,7 +325,7 @@ def ngram_jaccard(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     A row without doc_id belongs to the group of its text, if a row with a doc_id has that text, and has no id to give it.
     Other columns are not read.
     """
-    groups = shingle_groups(docs, rule)
+    groups = shingle_groups(docs, rule, tile_rows)
     rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("key")).join(groups, "key", "left")
     sizes = rows.select("doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
     return sizes

@@ -4,7 +4,6 @@ import re
 import numpy as np
 import pytest
 
-import promolens.llm.jaccard as jaccard
 from promolens.llm.jaccard import Parts, Rule, ngram_jaccard, part_names, representatives
 
 
@@ -47,8 +46,7 @@ def family(rng, vocab, n, edits, size):
 
 
 @pytest.mark.parametrize("rule,tile", [(Rule(), 1024), (Rule(5, 80, 100), 5)])
-def test_equals_brute_force(make_docs, corpus, monkeypatch, rule, tile):
-    monkeypatch.setattr(jaccard, "TILE_ROWS", tile)
+def test_equals_brute_force(make_docs, corpus, rule, tile):
     rng = random.Random(8)
     vocab = [f"w{i}" for i in range(300)] + ["Mixed", "CASE", "É"]
     texts = list(corpus)
@@ -56,7 +54,7 @@ def test_equals_brute_force(make_docs, corpus, monkeypatch, rule, tile):
         texts += family(rng, vocab, n, edits, size)
     texts += ["Same Case Text HERE now", "same case text here NOW", "", None, "  "]
     ids = rng.sample(range(10_000), len(texts))
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard(make_docs(texts, ids), rule).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard(make_docs(texts, ids), rule, tile).collect()}
     want = brute(ids, texts, rule)
     assert len({w[2] for w in want}) < 0.8 * len(texts)
     assert {d: (n, c) for d, n, c in want} == got
