@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -177,9 +178,18 @@ def bucket_bits(items: int, per_bucket: int = 1 << 20) -> int:
     return max(8, int(np.ceil(np.log2(max(items / per_bucket, 1)))))
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame once to the shared folder and read it back."""
-    return stage(df, label)
+def keep(df: DataFrame, label: str, release: bool = False) -> DataFrame:
+    """Write a frame once to the shared folder and read it back.
+
+    Spark drops the shuffle files behind a written frame when the driver's JVM collects the objects that refer to them,
+    which a large idle heap may put off for a whole run; ``release`` asks for a collection after a large shuffle.
+    """
+    out = stage(df, label)
+    if release:
+        del df
+        gc.collect()
+        out.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def table(schema: pa.Schema, columns: dict) -> pa.RecordBatch:

@@ -296,14 +296,14 @@ def shingle_groups(docs: DataFrame, rule: Rule = Rule(), tile_rows: int = TILE_R
     # One text stands for each set; a text that is marked only for its copies loses its parts in the aggregation below.
     chosen = marked.join(sets.select("key", "uid"), "key")
     one = text.join(chosen, "key").dropDuplicates(["key"])
-    named = keep(one.select("uid", "marks", "text").mapInArrow(_sets_again(rule, parts), "uid long, part long").distinct(), "parts")
+    named = keep(one.select("uid", "marks", "text").mapInArrow(_sets_again(rule, parts), "uid long, part long").distinct(), "parts", release=True)
     shared = keep(named.groupBy("part").agg(F.min("uid").alias("first"), F.count("*").alias("n")).filter("n > 1").select("part", "first"), "shared")
     star = named.join(shared, "part").filter("uid <> first").select(F.col("uid").alias("a"), F.col("first").alias("b"))
     clusters = components(star).select(F.col("id").alias("uid"), F.col("component").alias("cluster"))
     member = sets.join(clusters, "uid").select("key", "uid", "cluster")
     held = text.select("key", "text").join(member, "key").dropDuplicates(["key"])
-    points = keep(held.select("uid", "cluster", "text").mapInArrow(_points(rule), POINTS), "points")
-    tiled = keep(tiles_of(points, tile_rows), "tiles")
+    points = keep(held.select("uid", "cluster", "text").mapInArrow(_points(rule), POINTS), "points", release=True)
+    tiled = keep(tiles_of(points, tile_rows), "tiles", release=True)
     tiles = keep(tiled.groupBy("tile").applyInArrow(_edges_of_tiles, "tile long, cluster long, top binary, least long, most long"), "tops")
     a, b = tiles.alias("a"), tiles.alias("b")
     fits = (F.col("a.cluster") == F.col("b.cluster")) & (F.col("a.tile") <= F.col("b.tile"))

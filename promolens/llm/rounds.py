@@ -225,4 +225,4 @@ def marks(
     sent = df.mapInArrow(_send(make, bits, column), ROWS_DDL)
     told = sent.groupBy("bucket").applyInArrow(_answer(bits), ROWS_DDL)
     per_text = told.groupBy("block").applyInArrow(_gather(finish, aux), "key binary, marks binary")
-    return keep(per_text.groupBy("key").agg({"marks": "max"}).withColumnRenamed("max(marks)", "marks"), "marks")
+    return keep(per_text.groupBy("key").agg({"marks": "max"}).withColumnRenamed("max(marks)", "marks"), "marks", release=True)

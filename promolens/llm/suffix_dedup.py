@@ -228,7 +228,7 @@ def _deduped(docs: DataFrame, row: Column, threshold: int) -> DataFrame:
     told = _segment_marks(keyed.select("key", "text"), threshold, bits)
     kind = StructType([StructField("row", keyed.schema["row"].dataType)])
     middle = StructType(kind.fields + _parse("key binary, text string, spans binary, open binary, pending boolean"))
-    split = keep(keyed.join(told, "key", "left").select("row", "key", "text", "marks").mapInArrow(_split(threshold), middle), "suffix-split")
+    split = keep(keyed.join(told, "key", "left").select("row", "key", "text", "marks").mapInArrow(_split(threshold), middle), "suffix-split", release=True)
 
     def make(part: Block) -> rounds.Cut:
         places, again = _open_places(part)
