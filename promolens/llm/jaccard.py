@@ -8,9 +8,10 @@ A text becomes its set of shingles. Equal sets are one set. Sets meet in three s
 2. R-tree. Each set is a point of ``DIMENSIONS`` counts: its shingles by another hash. Points are sorted by cluster, size
    and counts over all tasks and cut into tiles, the leaves' parents; a tile has the maxima of its counts. The overlap of
    any two sets of two tiles is at most the sum of the smaller maxima, so most pairs of tiles of a large cluster go.
-3. The remaining pairs of tiles are joined: leaves of a few points are bounded in the same way, then single points, and
-   the shingles of the surviving pairs are compared, unless links have joined the two already. Only links that join what
-   was apart leave a task; components follow.
+   In the remaining pairs of tiles, leaves of a few points are bounded in the same way, then single points. A set without
+   a surviving partner is linked with none.
+3. The shingles of the others are fetched, and those of surviving pairs are compared, unless links have joined the two
+   already. Only links that join what was apart leave a task; components follow.
 """
 
 from __future__ import annotations
@@ -28,14 +29,13 @@ from promolens.llm import rounds
 from promolens.llm.common import BASE, U64, WORD_BASE, Block, blocks, bucket_bits, keep, mix, ranges_hash, text_key, total_bytes, words_of
 from promolens.llm.graph import Forest, components
 
-DIMENSIONS = 32
+DIMENSIONS = 128
 TILE_ROWS = 1024
 TILE_BYTES = 8 << 20
 LEAF = 16
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-SETS = "key binary, digest long, digest2 long, n_shingles long"
-POINTS = "uid long, cluster long, n long, counts binary, shingles binary"
+SETS = "key binary, digest long, digest2 long, n_shingles long, counts binary"
 
 
 @dataclass(frozen=True)
@@ -109,7 +109,10 @@ def _digests(rule: Rule):
             n = np.diff(cuts)
             first = mix(_sums(mix(sets.copy()), cuts) + n.astype(U64)).astype(np.int64)
             second = mix(_sums(mix(sets * BASE), cuts) + n.astype(U64) * BASE).astype(np.int64)
-            yield pa.record_batch([part.column("key"), pa.array(first), pa.array(second), pa.array(n)], names=["key", "digest", "digest2", "n_shingles"])
+            group = (mix(sets * WORD_BASE) % U64(DIMENSIONS)).astype(np.int64)
+            counts = np.bincount(np.repeat(np.arange(len(n)), n) * DIMENSIONS + group, minlength=len(n) * DIMENSIONS).reshape(len(n), -1)
+            points = pa.array([c.tobytes() for c in counts.astype(">i4")], pa.binary())
+            yield pa.record_batch([part.column("key"), pa.array(first), pa.array(second), pa.array(n), points], names=["key", "digest", "digest2", "n_shingles", "counts"])
 
     return run
 
@@ -162,61 +165,45 @@ def _sets_again(rule: Rule, parts: Parts):
     return run
 
 
-def _points(rule: Rule):
+def _shingles(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches):
             sets, cuts = shingle_sets(part.data, part.cuts, rule.words)
-            n = np.diff(cuts)
-            text = np.repeat(np.arange(len(n)), n)
-            group = (mix(sets * WORD_BASE) % U64(DIMENSIONS)).astype(np.int64)
-            counts = np.bincount(text * DIMENSIONS + group, minlength=len(n) * DIMENSIONS).astype(np.int32).reshape(len(n), -1)
             at = cuts.tolist()
-            yield pa.record_batch(
-                [
-                    part.column("uid"),
-                    part.column("cluster"),
-                    pa.array(n),
-                    pa.array([c.astype(">i4").tobytes() for c in counts], pa.binary()),
-                    pa.array([sets[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()),
-                ],
-                names=["uid", "cluster", "n", "counts", "shingles"],
-            )
+            yield pa.record_batch([part.column("uid"), pa.array([sets[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary())], names=["uid", "shingles"])
 
     return run
 
 
-def _ranked(least: int):
+def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add the partition and the cost of the points before each one among those of its cluster and partition."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, cluster, before = TaskContext.get().partitionId(), None, 0
-        for batch in batches:
-            costs = []
-            for c, s in zip(batch.column(1).to_pylist(), batch.column(4)):
-                before = before if c == cluster else 0
-                cluster = c
-                costs.append((before, cost := max(len(s.as_buffer()), least)))
-                before += cost
-            if costs:
-                columns = [pa.array([part] * len(costs), pa.int64()), *(pa.array(list(c), pa.int64()) for c in zip(*costs))]
-                yield pa.record_batch([*columns, *batch.columns], names=["part", "before", "cost", *batch.schema.names])
-
-    return run
+    part, cluster, before = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        befores = []
+        for c, cost in zip(batch.column(1).to_pylist(), batch.column(4).to_pylist()):
+            before = before if c == cluster else 0
+            cluster = c
+            befores.append(before)
+            before += cost
+        columns = [pa.array([part] * len(befores), pa.int64()), pa.array(befores, pa.int64())]
+        yield pa.record_batch([*columns, *batch.columns], names=["part", "before", *batch.schema.names])
 
 
 def tiles_of(points: DataFrame, tile_rows: int) -> DataFrame:
-    """Points with the name of their tile: a run of sorted points of one cluster, about ``tile_rows`` points or TILE_BYTES
-    of shingles. The sort goes over all tasks; where a cluster spans partitions, the costs of the partitions before are
-    added, so the number of tiles does not depend on the number of partitions."""
+    """``points`` (uid, cluster, n, counts) with the name of their tile: a run of sorted points of one cluster, about
+    ``tile_rows`` points or TILE_BYTES of shingles. The sort goes over all tasks; where a cluster spans partitions, the
+    costs of the partitions before are added, so the number of tiles does not depend on the number of partitions."""
     tasks = max(points.sparkSession.sparkContext.defaultParallelism, points.count() // 50_000 + 1)
-    ranged = points.repartitionByRange(tasks, "cluster", "n", "counts", "uid").sortWithinPartitions("cluster", "n", "counts", "uid")
-    ranked = keep(ranged.mapInArrow(_ranked(TILE_BYTES // tile_rows), "part long, before long, cost long, " + POINTS), "ranked")
+    priced = points.withColumn("cost", F.greatest(F.col("n") * 8, F.lit(TILE_BYTES // tile_rows)))
+    ranged = priced.repartitionByRange(tasks, "cluster", "n", "counts", "uid").sortWithinPartitions("cluster", "n", "counts", "uid")
+    ddl = "part long, before long, uid long, cluster long, n long, counts binary, cost long"
+    ranked = keep(ranged.select("uid", "cluster", "n", "counts", "cost").mapInArrow(_ranked, ddl), "ranked")
     upto = Window.partitionBy("cluster").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     runs = ranked.groupBy("cluster", "part").agg(F.sum("cost").alias("cost"))
     runs = runs.select("cluster", "part", F.coalesce(F.sum("cost").over(upto), F.lit(0)).alias("earlier"))
     joined = ranked.join(runs, ["cluster", "part"])
     number = F.floor((F.col("before") + F.col("earlier")) / TILE_BYTES)
-    return joined.select(F.xxhash64("cluster", number).alias("tile"), *points.columns)
+    return joined.select(F.xxhash64("cluster", number).alias("tile"), "uid", "cluster", "n", "counts")
 
 
 def _counts(column: pa.Array) -> np.ndarray:
@@ -242,33 +229,60 @@ def _near_tiles(rule: Rule):
     return run
 
 
+def _near_points(group: pa.Table, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a group, sorted by n, that the bounds of leaves and points leave over; of different tiles if the
+    group holds two."""
+    n, tile = group.column("n").to_numpy(), group.column("tile").to_numpy()
+    counts = _counts(group.column("counts").combine_chunks())
+    alone = len(np.unique(tile)) == 1
+    leaves = np.arange(0, len(n), LEAF)
+    tops = np.maximum.reduceat(counts, leaves, axis=0)
+    small, large = n[leaves], n[np.minimum(leaves + LEAF, len(n)) - 1]
+    for x in range(len(leaves)):
+        bound = np.minimum(tops[x], tops[x:]).sum(1)
+        near = rule.enough(bound, small[x] + small[x:]) & (rule.num * small[x:] <= rule.den * large[x])
+        i = np.arange(leaves[x], min(leaves[x] + LEAF, len(n)))
+        for y in (x + np.flatnonzero(near)).tolist():
+            j = np.arange(leaves[y], min(leaves[y] + LEAF, len(n)))
+            both = np.minimum(counts[i][:, None], counts[j][None]).sum(2)
+            fits = rule.enough(both, n[i][:, None] + n[j][None]) & (i[:, None] < j[None])
+            p, q = np.nonzero(fits if alone else fits & (tile[i][:, None] != tile[j][None]))
+            if len(p):
+                yield i[p], j[q]
+
+
+def _sorted(group: pa.Table) -> pa.Table:
+    return group.sort_by([("n", "ascending"), ("uid", "ascending")])
+
+
+def _alive(rule: Rule):
+    """Points with a surviving partner."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = _sorted(group)
+        alive = np.zeros(group.num_rows, bool)
+        for i, j in _near_points(group, rule):
+            alive[i] = alive[j] = True
+        return pa.table([pa.array(group.column("uid").to_numpy()[alive])], names=["uid"])
+
+    return run
+
+
 def _linked(rule: Rule):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("n", "ascending"), ("uid", "ascending")])
+        group = _sorted(group)
         uid, n = group.column("uid").to_numpy(), group.column("n").to_numpy()
-        counts = _counts(group.column("counts").combine_chunks())
         sets = [np.frombuffer(s, U64) for s in group.column("shingles").to_pylist()]
-        tile = group.column("tile").to_numpy()
-        alone = len(np.unique(tile)) == 1
-        leaves = np.arange(0, len(uid), LEAF)
-        tops = np.maximum.reduceat(counts, leaves, axis=0)
-        small, large = n[leaves], n[np.minimum(leaves + LEAF, len(n)) - 1]
         forest, out = Forest(len(uid)), []
-        for x in range(len(leaves)):
-            bound = np.minimum(tops[x], tops[x:]).sum(1)
-            near = rule.enough(bound, small[x] + small[x:]) & (rule.num * small[x:] <= rule.den * large[x])
-            for y in (x + np.flatnonzero(near)).tolist():
-                i, j = np.arange(leaves[x], min(leaves[x] + LEAF, len(n))), np.arange(leaves[y], min(leaves[y] + LEAF, len(n)))
-                both = np.minimum(counts[i][:, None], counts[j][None]).sum(2)
-                p, q = np.nonzero(rule.enough(both, n[i][:, None] + n[j][None]) & (i[:, None] < j[None]))
-                for a, b in zip(i[p].tolist(), j[q].tolist()):
-                    if (alone or tile[a] != tile[b]) and forest.find(a) != forest.find(b):
-                        common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                        if rule.linked(common, int(n[a]), int(n[b])):
-                            forest.join(a, b)
-                            out.append((uid[a], uid[b]))
+        for i, j in _near_points(group, rule):
+            for a, b in zip(i.tolist(), j.tolist()):
+                if forest.find(a) != forest.find(b):
+                    common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                    if rule.linked(common, int(n[a]), int(n[b])):
+                        forest.join(a, b)
+                        out.append((uid[a], uid[b]))
         return pa.table([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], schema=schema)
 
     return run
@@ -281,9 +295,9 @@ def shingle_groups(docs: DataFrame, rule: Rule = Rule(), tile_rows: int = TILE_R
     """
     parts = Parts(rule)
     text = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), text_key().alias("key"))
-    digests = keep(text.select("key", "text").mapInArrow(_digests(rule), SETS).distinct(), "digests")
+    digests = keep(text.select("key", "text").mapInArrow(_digests(rule), SETS).dropDuplicates(["key"]), "digests")
     ids = text.filter(F.col("doc_id").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    known = digests.filter("n_shingles > 0").join(ids, "key")
+    known = digests.drop("counts").filter("n_shingles > 0").join(ids, "key")
     best = known.groupBy("digest", "digest2", "n_shingles").agg(F.min(F.struct("doc_id", "key")).alias("best"))
     sets = keep(best.select("digest", "digest2", "n_shingles", F.col("best.doc_id").alias("uid"), F.col("best.key").alias("key")), "sets")
 
@@ -300,9 +314,8 @@ def shingle_groups(docs: DataFrame, rule: Rule = Rule(), tile_rows: int = TILE_R
     shared = keep(named.groupBy("part").agg(F.min("uid").alias("first"), F.count("*").alias("n")).filter("n > 1").select("part", "first"), "shared")
     star = named.join(shared, "part").filter("uid <> first").select(F.col("uid").alias("a"), F.col("first").alias("b"))
     clusters = components(star).select(F.col("id").alias("uid"), F.col("component").alias("cluster"))
-    member = sets.join(clusters, "uid").select("key", "uid", "cluster")
-    held = text.select("key", "text").join(member, "key").dropDuplicates(["key"])
-    points = keep(held.select("uid", "cluster", "text").mapInArrow(_points(rule), POINTS), "points", release=True)
+    member = sets.join(clusters, "uid").select("key", "uid", "cluster", F.col("n_shingles").alias("n"))
+    points = keep(member.join(digests.select("key", "counts"), "key").select("uid", "cluster", "n", "counts"), "points", release=True)
     tiled = keep(tiles_of(points, tile_rows), "tiles", release=True)
     tiles = keep(tiled.groupBy("tile").applyInArrow(_edges_of_tiles, "tile long, cluster long, top binary, least long, most long"), "tops")
     a, b = tiles.alias("a"), tiles.alias("b")
@@ -311,10 +324,14 @@ def shingle_groups(docs: DataFrame, rule: Rule = Rule(), tile_rows: int = TILE_R
     pairs = a.join(b, fits).select(F.col("a.tile").alias("a"), F.col("b.tile").alias("b"), F.col("a.top").alias("x"), F.col("b.top").alias("y"), (F.col("a.least") + F.col("b.least")).alias("total"))
     pairs = keep(pairs.mapInArrow(_near_tiles(rule), "a long, b long"), "near")
     sides = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
-    links = sides.join(tiled, "tile").groupBy("a", "b").applyInArrow(_linked(rule), "a long, b long")
+    near = sides.join(tiled, "tile").drop("cluster")
+    alive = keep(near.groupBy("a", "b").applyInArrow(_alive(rule), "uid long").distinct(), "alive")
+    fetched = text.select("key", "text").join(sets.select("key", "uid").join(alive, "uid"), "key").dropDuplicates(["key"])
+    shingles = keep(fetched.select("uid", "text").mapInArrow(_shingles(rule), "uid long, shingles binary"), "shingles", release=True)
+    links = near.join(shingles, "uid").groupBy("a", "b").applyInArrow(_linked(rule), "a long, b long")
     found = components(links).select(F.col("id").alias("uid"), F.col("component").alias("root"))
     rooted = sets.join(found, "uid", "left").select("digest", "digest2", "n_shingles", "uid", F.coalesce("root", "uid").alias("root"))
-    return keep(digests.join(rooted, ["digest", "digest2", "n_shingles"]).select("key", "uid", "n_shingles", "root"), "rooted")
+    return keep(digests.drop("counts").join(rooted, ["digest", "digest2", "n_shingles"]).select("key", "uid", "n_shingles", "root"), "rooted")
 
 
 def ngram_jaccard(docs: DataFrame, rule: Rule = Rule(), tile_rows: int = TILE_ROWS) -> DataFrame:
