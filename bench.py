@@ -16,9 +16,9 @@ from checks.queries import QUERIES
 from promolens.operators.attempts import attempts, attempts_window
 from promolens.operators.catalog import combo_ids
 from promolens.operators.funnel import funnel, price_inference
-from promolens.operators.patterns import enrich_attempts, patterns
+from promolens.operators.patterns import patterns
 from promolens.operators.sessions import sessions
-from promolens.plans.pipeline import analyze, prepare_catalog, stage_events
+from promolens.plans.pipeline import analyze, enriched_table, prepare_catalog, stage_events
 from promolens.schemas import ATTEMPTS_DDL, FUNNEL_DDL, PATTERNS_DDL, SESSIONS_DDL, conform
 from promolens.session import local_session
 from promolens.sinks.tables import LAYOUT, load_table, write_clustered
@@ -55,11 +55,21 @@ def main() -> None:
         "run_sessions",
         lambda: write_clustered(conform(sessions(events, CFG), SESSIONS_DDL), f"{out}/sessions", *LAYOUT["sessions"]),
     )
-    catalog = timed("run_catalog", lambda: prepare_catalog(fx.catalog, CFG))
+
+    def prepared():
+        c = prepare_catalog(fx.catalog, CFG)
+        # Frames and size checks are made on first use; touched here, so that their time is the catalogue's.
+        for part in ("validity", "conditions", "requirements_all", "requirements", "products_bounded", "rules_bounded"):
+            getattr(c, part)
+        return c
+
+    catalog = timed("run_catalog", prepared)
     window = attempts_window(table("attempts", ATTEMPTS_DDL), CFG)
     timed(
         "run_patterns",
-        lambda: load_table(patterns(enrich_attempts(window, catalog, CFG), catalog), f"{out}/patterns", PATTERNS_DDL),
+        lambda: load_table(
+            patterns(enriched_table(window, catalog, CFG, f"{out}/enriched"), catalog), f"{out}/patterns", PATTERNS_DDL
+        ),
     )
 
     def wide():

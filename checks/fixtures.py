@@ -28,10 +28,10 @@ SOURCES = ("google", "facebook", "direct")
 MEDIUMS = ("organic", "cpc")
 # Fixed values: (promotion slot, quantity type, n, m) of the conditions on each product of a family.
 CONDITIONS = (
-    ((0, 1, 3, None), (4, 5, 3, None), (7, 2, 2, None)),
-    ((1, 2, 3, None), (5, 6, 3, None), (9, 2, 2, None), (7, 2, 2, None)),
-    ((2, 3, 3, None), (6, 7, 3, None), (8, 2, 1, None)),
-    ((3, 4, 3, 5), (8, 2, 3, None)),
+    ((0, 1, 3, None), (4, 5, 3, None), (7, 2, 2, None), (0, 6, 0, None), (4, 8, 3, None)),
+    ((1, 2, 3, None), (5, 6, 3, None), (9, 2, 2, None), (7, 2, 2, None), (1, 7, 0, None), (5, 4, 2, 0)),
+    ((2, 3, 3, None), (6, 7, 3, None), (8, 2, 1, None), (2, 4, 2, None)),
+    ((3, 4, 3, 5), (8, 2, 3, None), (3, 2, None, None)),
 )
 
 
@@ -39,11 +39,12 @@ def _pick(values: tuple[str, ...], index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), (index % len(values)).cast("int"))
 
 
-def _raw_name(position: Column, family: Column) -> Column:
+def _raw_name(position: Column, family: Column, k: Column) -> Column:
+    """Item name as the source writes it. Two spellings of the second family clean to one name."""
     n = (family + 1).cast("string")
     return (
         F.when(position == 0, F.when(family == 4, F.lit("Gana Ya")).otherwise(F.concat(n, F.lit("° Gana Ya"))))
-        .when(position == 1, F.concat(F.lit("LQ "), n))
+        .when(position == 1, F.concat(F.when(k % 5 == 0, "Sorteo Lo Quiero ").otherwise("LQ "), n))
         .when(position == 2, F.concat(F.lit("Sorteo Efectivo "), n))
         .otherwise(F.concat(F.lit("Sorteo Educativo "), n, F.lit(" "), n))
     )
@@ -97,7 +98,7 @@ class Fixture:
 
         def line(position: Column, quantity: Column) -> Column:
             return F.struct(
-                _raw_name(position, g).alias("item_name"),
+                _raw_name(position, g, k).alias("item_name"),
                 F.lit(None).cast("string").alias("item_id"),
                 quantity.cast("bigint").alias("quantity"),
             )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from checks.fixtures import CFG, Fixture
 from promolens import schemas
 from promolens.config import FUNNEL_STEPS
 from promolens.functions.labels import login_category, login_vs_step
-from promolens.functions.rules import near_miss, quantity_rule
+from promolens.functions.rules import meets, one_short, rule_bounds
 from promolens.functions.text import clean_item, override_item
 from promolens.functions.times import local_wall, parse_time_text, time_text, utc_wall
 from promolens.operators import attempts as att
@@ -24,7 +25,7 @@ from promolens.operators import patterns as pat
 from promolens.operators import sessions as ses
 from promolens.plans.pipeline import combos_of, prepare_catalog
 from promolens.session import stage, work_dir
-from promolens.sinks.tables import LAYOUT, export_csv, load_from_csv, write_clustered
+from promolens.sinks.tables import LAYOUT, delete_tables, export_csv, load_from_csv, write_clustered
 from promolens.sources import events as src
 from promolens.sources.dates import standardize_dates
 from promolens.sources.tables import read_result
@@ -63,6 +64,11 @@ def _fine(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(c, 6).alias(c) if c in keep else F.col(c) for c in df.columns])
 
 
+def _plain(df: DataFrame) -> DataFrame:
+    """Without the columns that only detection reads."""
+    return df.drop(*[c for c in df.columns if c.startswith("_")])
+
+
 class Chain:
     """The stages of one run. Stages that several later steps read are written once, as the pipeline does."""
 
@@ -106,6 +112,11 @@ class Chain:
     def catalog(self) -> cat.Catalog:
         return prepare_catalog(self.fx.catalog, CFG)
 
+    @cached_property
+    def large_catalog(self) -> cat.Catalog:
+        """The same catalogue as if it had failed every size check."""
+        return prepare_catalog(self.fx.catalog, replace(CFG, broadcast_rows=0))
+
     @cached_property
     def enriched(self) -> DataFrame:
         return pat.enrich_attempts(self.window, self.catalog, CFG)
@@ -137,7 +148,8 @@ class Chain:
 
     @cached_property
     def flags(self) -> DataFrame:
-        return kpis.promo_row_flags(self.priced, self.combos)
+        """The rows and their different id lists read the priced table, so it is written first."""
+        return kpis.promo_row_flags(stage(self.priced, "priced"), self.combos)
 
 
 QUERIES: dict[str, Query] = {}
@@ -204,14 +216,17 @@ def event_times(c: Chain) -> DataFrame:
 
 @query
 def csv_ingest(c: Chain) -> DataFrame:
-    """Orders as CSV text with two date layouts, loaded into a typed table and read back."""
+    """Orders as CSV text, loaded into a typed table and read back: whole numbers with a fraction or none, days in two
+    layouts with unreadable ones, moments with ``T`` and fractions, as our own export writes them."""
     root = work_dir(c.spark)
-    orders = c.fx.table("orders")
+    orders, key, d = c.fx.table("orders"), F.col("o_orderkey"), F.col("o_orderdate")
     orders.select(
-        "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "dd/MM/yyyy").alias("day"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("moment"),
+        "o_orderkey", "o_totalprice",
+        F.when(key % 3 == 0, F.concat(F.col("o_custkey").cast("string"), F.lit(".0"))).when(key % 3 == 1, F.col("o_custkey").cast("string")).alias("customer"),
+        F.when(key % 5 == 0, "31/02/2024").when(key % 5 == 1, F.date_format(d, "yyyy/MM/dd")).otherwise(F.date_format(d, "yyyy-MM-dd")).alias("day"),
+        F.when(key % 2 == 0, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss.SSS")).otherwise(F.date_format(d, "yyyy-MM-dd HH:mm:ss")).alias("moment"),
     ).write.option("header", True).csv(f"{root}/in")
-    ddl = "o_orderkey bigint, day date, moment timestamp_ntz, o_totalprice double"
+    ddl = "o_orderkey bigint, customer bigint, day date, moment timestamp_ntz, o_totalprice double"
     load_from_csv(c.spark, f"{root}/in", f"{root}/out", ddl)
     return _flat(read_result(c.spark, f"{root}/out", ddl))
 
@@ -240,6 +255,30 @@ def roundtrip_partitioned(c: Chain) -> DataFrame:
     return _flat(read_result(c.spark, path, schemas.ATTEMPTS_DDL))
 
 
+@query
+def rerun_replaces(c: Chain) -> DataFrame:
+    """A wide result, then a narrow one to the same place: nothing of the first is left."""
+    path = f"{work_dir(c.spark)}/attempts"
+    every = stage(schemas.conform(c.attempts, schemas.ATTEMPTS_DDL), "every")
+    write_clustered(every, path, *LAYOUT["attempts"])
+    write_clustered(every.where("attempt_date <= date'2024-01-10'"), path, *LAYOUT["attempts"])
+    return _flat(read_result(c.spark, path, schemas.ATTEMPTS_DDL))
+
+
+@query
+def delete_tables_(c: Chain) -> DataFrame:
+    """Tables made from the regions, some dropped: those that are left."""
+    names = [f"promolens_drop_{i}" for i in range(4)]
+    for name in names:
+        c.fx.table("region").write.mode("overwrite").saveAsTable(name)
+    delete_tables(c.spark, [*names[1:], "promolens_never_made"])
+    left = c.spark.sql("SHOW TABLES LIKE 'promolens_drop_*'").select("tableName")
+    rows = c.spark.table(names[0]).select(F.lit(names[0]).alias("tableName"), "r_name").join(left, "tableName")
+    out = stage(rows, "left")
+    delete_tables(c.spark, names[0])
+    return out
+
+
 @query
 def csv_export(c: Chain) -> DataFrame:
     path = f"{work_dir(c.spark)}/patterns_csv"
@@ -304,7 +343,7 @@ def attempts(c: Chain) -> DataFrame:
 
 @query
 def attempts_window(c: Chain) -> DataFrame:
-    return c.window
+    return _plain(c.window)
 
 
 # ---- sessions ------------------------------------------------------------------------------------------------
@@ -420,7 +459,7 @@ def datetime_text(c: Chain) -> DataFrame:
 
 @query
 def enrich_attempts(c: Chain) -> DataFrame:
-    return _flat(c.enriched)
+    return _flat(_plain(c.enriched))
 
 
 @query
@@ -451,8 +490,9 @@ def _rule_rows(c: Chain) -> DataFrame:
 
 @query
 def quantity_rule_(c: Chain) -> DataFrame:
-    met = quantity_rule(F.col("qty"), F.col("tipo"), F.col("n"), F.col("m")).alias("cumple")
-    return _rule_rows(c).groupBy("tipo", "n", "m", "qty", met).agg(F.count("*").alias("filas"))
+    rows = _rule_rows(c).withColumn("b", rule_bounds(F.col("tipo"), F.col("n"), F.col("m")))
+    met = meets(F.col("qty"), F.col("b.lo"), F.col("b.hi"), F.col("b.step")).alias("cumple")
+    return rows.groupBy("tipo", "n", "m", "qty", met).agg(F.count("*").alias("filas"))
 
 
 
@@ -460,7 +500,7 @@ def quantity_rule_(c: Chain) -> DataFrame:
 def near_miss_(c: Chain) -> DataFrame:
     return (
         _rule_rows(c)
-        .groupBy("n", "qty", near_miss(F.col("qty"), F.col("n")).alias("casi"))
+        .groupBy("n", "qty", one_short(F.col("qty"), F.col("n") - 1).alias("casi"))
         .agg(F.count("*").alias("filas"))
     )
 
@@ -486,6 +526,21 @@ def patterns(c: Chain) -> DataFrame:
     return _flat(schemas.conform(c.patterns, schemas.PATTERNS_DDL))
 
 
+@query
+def simple_promos_joined(c: Chain) -> DataFrame:
+    return _flat(pat.simple_promos(c.detection_input, c.large_catalog).select(*_ROW, *_SETS, *_TEXTS))
+
+
+@query
+def combo_promos_joined(c: Chain) -> DataFrame:
+    return _flat(pat.combo_promos(c.detection_input, c.large_catalog).select(*_ROW, *_SETS))
+
+
+@query
+def patterns_joined(c: Chain) -> DataFrame:
+    return _flat(schemas.conform(pat.patterns(c.detection_input, c.large_catalog), schemas.PATTERNS_DDL))
+
+
 @query
 def pattern_flags(c: Chain) -> DataFrame:
     return c.patterns.select(*_ROW, *_PATRON, "TIENE_PATRON_COMPLETO", "TIENE_PATRON_INCOMPLETO")
@@ -592,3 +647,13 @@ def lost_opportunity(c: Chain) -> DataFrame:
 @query
 def integrity_checks(c: Chain) -> DataFrame:
     return _flat(quality.integrity_checks(c.priced))
+
+
+@query
+def validity_checks(c: Chain) -> DataFrame:
+    return quality.validity_checks(stage(c.priced, "priced"), c.catalog.validity)
+
+
+@query
+def event_checks(c: Chain) -> DataFrame:
+    return quality.event_checks(c.lines)

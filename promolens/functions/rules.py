@@ -6,26 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def quantity_rule(qty: Column, kind: Column, n: Column, m: Column) -> Column:
-    """Does ``qty`` meet a condition of type ``kind`` (1 exact, 2 at least, 3 at most, 4 between, 5 accumulate,
-    6 for each, 7 multiple)? FALSE for a missing or zero quantity, unknown type or missing ``n``."""
-    upper = F.when(m.isNull() | (m == 0), n).otherwise(m)
-    divides = F.try_mod(qty, n) == 0
-    met = (
-        F.when(kind == 1, qty == n)
-        .when(kind.isin(2, 5), qty >= n)
-        .when(kind == 3, qty <= n)
-        .when(kind == 4, (qty >= n) & (qty <= upper))
-        .when(kind == 6, (qty >= n) & divides)
-        .when(kind == 7, (n > 0) & divides)
-    )
-    return F.coalesce((qty != 0) & met, F.lit(False))
-
-
 def rule_bounds(kind: Column, n: Column, m: Column) -> Column:
-    """The same condition as ``struct<lo, hi, step>``: a non-zero quantity meets it when ``lo <= qty <= hi`` and
-    ``qty`` is a multiple of ``step``. Worked out once per condition, so that the test on each row is three cheap
-    comparisons without NULLs. A condition that nothing meets gets an empty interval."""
+    """A condition of type ``kind`` (1 exact, 2 at least, 3 at most, 4 between, 5 accumulate, 6 for each, 7 multiple) as
+    ``struct<lo, hi, step>``: a non-zero quantity meets it when ``lo <= qty <= hi`` and ``qty`` is a multiple of
+    ``step``. Worked out once per condition, so that the test on each row is three cheap comparisons without NULLs. A
+    condition that nothing meets, like one of another type or without ``n``, gets an empty interval."""
     least, most = F.lit(-(2**63)).cast("bigint"), F.lit(2**63 - 1).cast("bigint")
     upper = F.when(m.isNull() | (m == 0), n).otherwise(m)
     lo = F.when(kind.isin(1, 2, 4, 5, 6), n).when(kind.isin(3, 7), least)
@@ -40,13 +25,13 @@ def rule_bounds(kind: Column, n: Column, m: Column) -> Column:
 
 
 def meets(qty: Column, lo: Column, hi: Column, step: Column) -> Column:
-    """The row test for ``rule_bounds``."""
-    return (qty >= lo) & (qty <= hi) & (qty % step == 0)
+    """The row test for ``rule_bounds``; FALSE for a missing or zero quantity."""
+    return F.coalesce((qty != 0) & (qty >= lo) & (qty <= hi) & (qty % step == 0), F.lit(False))
 
 
-def near_miss(qty: Column, n: Column) -> Column:
-    """Exactly one unit short."""
-    return F.coalesce(qty == n - 1, F.lit(False))
+def one_short(qty: Column, short: Column) -> Column:
+    """Exactly one unit short: ``short`` is the asked quantity less one."""
+    return F.coalesce((qty > 0) & (qty == short), F.lit(False))
 
 
 def active(at: Column, start: Column, end: Column) -> Column:

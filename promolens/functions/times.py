@@ -33,6 +33,12 @@ def parse_time_text(text: Column) -> Column:
     return F.when(text.rlike(layout), iso.try_cast("timestamp_ntz"))
 
 
+def whole_seconds(wall: Column) -> Column:
+    """The wall clock cut to its second, as its text has it."""
+    zero = F.lit(0)
+    return wall - F.make_dt_interval(zero, zero, zero, F.extract(F.lit("SECOND"), wall) % 1)
+
+
 def minute_of(wall: Column) -> Column:
     """The wall clock cut to its minute."""
     return F.date_trunc("minute", wall).cast("timestamp_ntz")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.config import ATTEMPT_EVENTS, DIMENSIONS, NO_ITEM, RunConfig
-from promolens.functions.times import local_wall, time_text
+from promolens.functions.times import local_wall, time_text, whole_seconds
 from promolens.session import stage
 
 USER, SESSION = "user_pseudo_id", "session_id"
@@ -47,8 +47,11 @@ def dedup_items(lines: DataFrame) -> DataFrame:
 
 
 def _slice(cfg: RunConfig) -> Column:
+    """Time slice of an event. Rows with neither user nor session share one group per product whatever their number, so
+    their slices are sixty times narrower; results do not depend on the width."""
     width = cfg.chunk_minutes * 60_000_000
-    return F.coalesce(F.floor(F.col(TS) / F.lit(width)).cast("bigint"), F.lit(-1))
+    nobody = F.col(USER).isNull() & F.col(SESSION).isNull()
+    return F.coalesce(F.floor(F.col(TS) / F.when(nobody, width / 60).otherwise(width)).cast("bigint"), F.lit(-1))
 
 
 def event_item_qty(items: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
@@ -70,12 +73,11 @@ def dedup_event_items(rows: DataFrame, extra_keys: tuple[str, ...] = ()) -> Data
 def event_items(events: DataFrame, cfg: RunConfig) -> DataFrame:
     """Deduplicated event-item rows of the three attempt events, spread by (user, session, product, slice)."""
     lines = flatten_items(events.where(F.col("event_name").isin(*ATTEMPT_EVENTS)).drop("discount"))
-    items = dedup_items(lines).withColumns(
+    items = dedup_items(lines).withColumn("slice", _slice(cfg)).withColumns(
         {
             USER: F.coalesce(USER, F.lit(_NO_USER)),
             SESSION: F.coalesce(SESSION, F.lit(_NO_SESSION).cast("bigint")),
             "product_key": F.coalesce("item_name", F.lit(NO_ITEM)),
-            "slice": _slice(cfg),
         }
     )
     spread = items.repartition(*GROUP, "slice")
@@ -198,7 +200,8 @@ def status_label(has_purchase: Column) -> Column:
 
 
 def attempts_window(table: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Attempts of the date window under the names that promotion detection uses."""
+    """Attempts of the date window under the names that promotion detection uses. ``_at`` is the time of DATETIME, so
+    that detection need not read it back from text; it is not part of any result table."""
     keep = F.col("attempt_date").isNotNull()
     if cfg.date_start is not None:
         keep = keep & (F.col("attempt_date") >= F.lit(cfg.date_start))
@@ -217,4 +220,5 @@ def attempts_window(table: DataFrame, cfg: RunConfig) -> DataFrame:
         F.col("qty_purchase").alias("CANTIDAD_PURCHASE"),
         F.col("transaction_id").alias("TRANSACTION_ID"),
         F.lit(None).cast("string").alias("item_id"),
+        whole_seconds(F.col("attempt_dt_mx")).alias("_at"),
     )

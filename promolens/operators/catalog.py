@@ -49,21 +49,18 @@ def promo_validity(purchases: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def validity_lookup(validity: DataFrame) -> DataFrame:
-    """Promotion -> (start, end) as wall clocks; unreadable dates become NULL, rows without promotion are dropped."""
+    """Promotion -> (start, end) as wall clocks; unreadable dates become NULL, rows without promotion are dropped. Of
+    several windows of one promotion the one that ends last counts, then the one that starts last."""
     def wall(name: str) -> Column:
         return F.col(name).try_cast("timestamp_ntz") if isinstance(
             validity.schema[name].dataType, T.StringType
         ) else F.col(name).cast("timestamp_ntz")
 
-    return (
-        validity.select(
-            "clave_promocion",
-            wall("d_inicio_promocion").alias("d_inicio_promocion"),
-            wall("d_cierre_promocion").alias("d_cierre_promocion"),
-        )
-        .dropna(subset=["clave_promocion"])
-        .dropDuplicates(["clave_promocion"])
-    )
+    spans = validity.select(
+        "clave_promocion", wall("d_inicio_promocion").alias("d_inicio_promocion"), wall("d_cierre_promocion").alias("d_cierre_promocion")
+    ).dropna(subset=["clave_promocion"])
+    last = F.max(F.struct("d_cierre_promocion", "d_inicio_promocion")).alias("w")
+    return spans.groupBy("clave_promocion").agg(last).select("clave_promocion", "w.d_inicio_promocion", "w.d_cierre_promocion")
 
 
 def combo_catalog(
@@ -217,14 +214,15 @@ class Catalog:
     def requirements_all(self) -> DataFrame:
         return stage(combo_requirements_all(self.combos), "requirements")
 
-    @property
+    @cached_property
     def requirements(self) -> DataFrame:
         """Requirement rows with the validity window of their promotion and the number of products still needed."""
         rows = combo_requirements(self.requirements_all)
         needed = rows.groupBy("clave_promocion").agg(
             F.count_if(F.col("cantidad_requerida") > 0).alias("n_required")
         )
-        return rows.join(needed, "clave_promocion").join(validity_lookup(self.validity), "clave_promocion", "left")
+        spans = validity_lookup(self.validity)
+        return stage(rows.join(needed, "clave_promocion").join(spans, "clave_promocion", "left"), "timed_requirements")
 
     @cached_property
     def products_bounded(self) -> bool:

@@ -69,44 +69,24 @@ def kpi_summary(kpis: DataFrame) -> DataFrame:
     return kpis.select((a - F.try_divide(b, c) * a).alias("KPI_sesiones_resumen"))
 
 
-# Up to this many combined ids are written into the expression as a hash set; beyond it they stay a subquery.
-INLINE_IDS = 20_000
-
-
-def promo_row_flags(funnel: DataFrame, combos: DataFrame, inline_ids: int = INLINE_IDS) -> DataFrame:
+def promo_row_flags(funnel: DataFrame, combos: DataFrame) -> DataFrame:
     """Row flags on the cart stage: any simple / combined id among the incomplete / complete promotions.
 
-    Membership is a hash lookup per id, with no join of the rows. When there are more combined ids than
-    ``inline_ids`` the same test runs against one array from a scalar subquery.
+    Rows share few different id lists. The different lists are exploded, their ids are looked up among the combined
+    ones in one join, and each list gets its two flags, which the rows take over. An empty or missing list has neither.
     """
-    ids = combos.select(F.col("clave_promocion").cast("bigint").alias("id")).dropna()
-    some = [r.id for r in ids.limit(inline_ids + 1).collect()]
-
-    if len(some) > inline_ids:
-        every = ids.agg(F.collect_set("id").alias("ids")).scalar()
-
-        def any_id(column: str, combined: bool) -> Column:
-            ids_of_row = F.col(column)
-            hit = F.arrays_overlap(ids_of_row, every) if combined else F.size(F.array_except(ids_of_row, every)) > 0
-            return F.when(F.size(ids_of_row) > 0, hit)
-    else:
-        known = ", ".join(f"{i}L" for i in some) or "NULL"
-
-        def any_id(column: str, combined: bool) -> Column:
-            member = f"coalesce(x IN ({known}), false)"
-            return F.expr(f"exists({column}, x -> {member if combined else 'NOT ' + member})")
-
-    def flag(column: str, combined: bool) -> Column:
-        return F.coalesce(any_id(column, combined), F.lit(False))
-
-    return funnel.withColumns(
-        {
-            "HAS_SIMPLE_INCOMPLETE": flag("PROMOS_ADD_CART_INCOMPLETAS", False),
-            "HAS_COMBINED_INCOMPLETE": flag("PROMOS_ADD_CART_INCOMPLETAS", True),
-            "HAS_SIMPLE_COMPLETA": flag("PROMOS_ADD_CART_COMPLETAS", False),
-            "HAS_COMBINED_COMPLETA": flag("PROMOS_ADD_CART_COMPLETAS", True),
-        }
-    )
+    lists = ("PROMOS_ADD_CART_INCOMPLETAS", "PROMOS_ADD_CART_COMPLETAS")
+    ids = combos.select(F.col("clave_promocion").cast("bigint").alias("_id")).dropna().distinct().withColumn("_known", F.lit(True))
+    different = funnel.select(F.explode(F.array(*lists)).alias("_list")).where(F.size("_list") > 0).distinct()
+    named = different.select("_list", F.explode("_list").alias("_id")).join(ids, "_id", "left")
+    known = F.coalesce("_known", F.lit(False))
+    told = named.groupBy("_list").agg(F.bool_or(~known).alias("_simple"), F.bool_or(known).alias("_combined"))
+    out = funnel
+    for column, kind in zip(lists, ("INCOMPLETE", "COMPLETA")):
+        mine = told.select(F.col("_list").alias(column), *[F.col(c).alias(f"HAS{c.upper()}_{kind}") for c in ("_simple", "_combined")])
+        out = out.join(mine, column, "left")
+    flags = {c: F.coalesce(c, F.lit(False)) for c in ROW_FLAGS}
+    return out.withColumns(flags).select(*funnel.columns, *ROW_FLAGS)
 
 
 def row_flag_summary(flags: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.config import DESC_SEPARATOR, RunConfig
-from promolens.functions.rules import active, meets, rule_bounds
+from promolens.functions.rules import active, meets, one_short, rule_bounds
 from promolens.functions.text import clean_item, override_item
 from promolens.functions.times import days_between_dates, parse_time_text, utc_wall_column
 from promolens.operators.catalog import Catalog, catalog_items, combo_ids
@@ -26,13 +26,17 @@ STAGES = (
     ("CANTIDAD_PURCHASE", "PURCHASE", "PURCHASE", "MONTO_PURCHASE"),
 )
 _ROW = ["USER", "SESION", "ITEM", "INTENTO"]
+# The name of an attempt's item before cleaning. Attempts are numbered by it, so it belongs to the identity of a row:
+# two raw names may clean to one. ``_at`` is the attempt time in whole seconds. Both are for detection only.
+RAW_ITEM, AT = "_raw_item", "_at"
 _NO_IDS = "array<bigint>"
 
 
 def enrich_attempts(window: DataFrame, catalog: Catalog, cfg: RunConfig, dedup_catalog: bool = False) -> DataFrame:
     """Clean item names, then add product id, price, draw date, days to the draw and stage amounts.
 
-    Catalogue rows that share a display name multiply the attempt, unless ``dedup_catalog`` keeps the lowest id.
+    Catalogue rows that share a display name multiply the attempt, unless ``dedup_catalog`` keeps the lowest id. The raw
+    name stays beside the clean one as ``_raw_item``.
     """
     items = catalog_items(catalog.products)
     lookup = items.select(
@@ -46,7 +50,8 @@ def enrich_attempts(window: DataFrame, catalog: Catalog, cfg: RunConfig, dedup_c
         w = Window.partitionBy("ITEM").orderBy(F.asc_nulls_last("clave_edicion_producto"))
         lookup = lookup.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     name = override_item(F.col("_clean"), cfg.item_overrides)
-    rows = window.withColumn("_clean", clean_item(F.col("ITEM"), cfg.name_rewrites)).withColumn("ITEM", name)
+    rows = window.withColumns({RAW_ITEM: F.col("ITEM"), "_clean": clean_item(F.col("ITEM"), cfg.name_rewrites)})
+    rows = rows.withColumn("ITEM", name)
     joined = lookup_join(
         rows.drop("_clean"), lookup, ["ITEM"], "left", catalog.products_bounded, ["USER", "SESION", "INTENTO"]
     )
@@ -54,17 +59,21 @@ def enrich_attempts(window: DataFrame, catalog: Catalog, cfg: RunConfig, dedup_c
     amounts = {amount: price * F.col(qty) for qty, _, _, amount in STAGES}
     # Only the cart amount of an unpriced item is zero; the two others stay NULL.
     amounts["MONTO_ADD_TO_CART"] = F.coalesce(amounts["MONTO_ADD_TO_CART"], F.lit(0.0))
-    at = parse_time_text(F.col("DATETIME"))
     return joined.withColumns(
-        {"dias_para_sorteo": days_between_dates(F.col("_draw"), at), **amounts}
+        {"dias_para_sorteo": days_between_dates(F.col("_draw"), attempt_time(window)), **amounts}
     ).drop("_draw")
 
 
+def attempt_time(df: DataFrame) -> Column:
+    """Attempt time in whole seconds: carried as a timestamp by ``attempts_window``, else read from its text."""
+    return F.col(AT) if AT in df.columns else parse_time_text(F.col("DATETIME"))
+
+
 def session_products(rows: DataFrame) -> DataFrame:
     """Units per session, product and stage, with the first attempt time. Combined before the shuffle."""
     return rows.groupBy("USER", "SESION", "clave_edicion_producto").agg(
         *[F.sum(F.coalesce(F.col(qty), F.lit(0))).alias(stage) for qty, _, stage, _ in STAGES],
-        F.min(parse_time_text(F.col("DATETIME"))).alias("_at"),
+        F.min(attempt_time(rows)).alias("_at"),
     )
 
 
@@ -165,7 +174,7 @@ def _met(c, qty: Column) -> Column:
 
 
 def _near(c, qty: Column) -> Column:
-    return (qty == c["short"]) & _in_force(c) & ~_met(c, qty)
+    return one_short(qty, c["short"]) & _in_force(c) & ~_met(c, qty)
 
 
 def _owned(c, qty: Column) -> Column:
@@ -179,9 +188,8 @@ def _with_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
         F.col("USER").isNotNull()
         & F.col("SESION").isNotNull()
         & F.col("clave_edicion_producto").isNotNull()
-        & F.col("_at").isNotNull()
     )
-    timed = rows.withColumn("_at", parse_time_text(F.col("DATETIME"))).withColumn("_at", F.when(usable, F.col("_at")))
+    timed = rows.withColumn(AT, F.when(usable, attempt_time(rows)))
     return _with_packed_rules(timed, catalog) if catalog.rules_bounded else _with_joined_rules(timed, catalog)
 
 
@@ -203,8 +211,8 @@ def _with_packed_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
 
 def _with_joined_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
     """The same columns for a catalogue of any size: a salted join with the rule rows, only the hits of a row are
-    collected, and they come back by the key of the row."""
-    keys = [*_ROW, "clave_edicion_producto"]
+    collected, and they come back by the key of the row: user, session, raw and clean item, attempt and product."""
+    keys = [*_ROW, *[c for c in (RAW_ITEM,) if c in rows.columns], "clave_edicion_producto"]
     narrow = rows.where(F.col("_at").isNotNull()).select(*keys, "_at", *[q for q, _, _, _ in STAGES])
     parts = []
     for rules, combined in ((simple_rules(catalog), False), (combined_rules(catalog), True)):
@@ -213,9 +221,8 @@ def _with_joined_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
         hits = {}
         for name, _, stage, _ in STAGES:
             qty = F.col(name)
-            some = F.coalesce(qty != 0, F.lit(False))
-            met = F.lit(False) if combined else some & _met(c, qty)
-            near = F.lit(False) if combined else (qty > 0) & _near(c, qty)
+            met = F.lit(False) if combined else _met(c, qty)
+            near = F.lit(False) if combined else _near(c, qty)
             hits[f"_met_{stage}"] = F.when(met, entry)
             hits[f"_live_{stage}"] = F.when(met & _in_force(c), entry)
             hits[f"_near_{stage}"] = F.when(near, F.col("promo"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promolens.operators.catalog import validity_lookup
+
 KEY = ["user_pseudo_id", "session_id"]
 
 
@@ -91,3 +93,30 @@ def integrity_checks(funnel: DataFrame) -> DataFrame:
         F.sum("q").alias("qty_purchase_total"),
         F.sum("m").alias("monto_purchase_total"),
     )
+
+
+def validity_checks(funnel: DataFrame, validity: DataFrame) -> DataFrame:
+    """Per stage, how many complete promotions rows name, and how many of those have no validity window or a window
+    that the attempt time of the row lies outside of. Combined promotions may be outside of it: their session decides."""
+    named = [
+        F.struct(F.lit(stage).alias("stage"), F.col(f"PROMOS_{stage}_COMPLETAS").alias("ids")) for stage in ("ADD_CART", "CHECKOUT", "PURCHASE")
+    ]
+    ids = funnel.select("attempt_dt_mx", F.explode(F.array(*named)).alias("n")).select("attempt_dt_mx", "n.stage", F.explode("n.ids").alias("clave_promocion"))
+    timed = ids.groupBy("stage", "clave_promocion", "attempt_dt_mx").agg(F.count("*").alias("n")).join(validity_lookup(validity), "clave_promocion", "left")
+    at, start, end = F.col("attempt_dt_mx"), F.col("d_inicio_promocion"), F.col("d_cierre_promocion")
+    known = start.isNotNull() & end.isNotNull()
+    weigh = lambda test: F.sum(F.when(test, F.col("n")).otherwise(0))
+    return timed.groupBy("stage").agg(
+        F.sum("n").alias("complete"),
+        weigh(~known).alias("without_window"),
+        weigh(known & ~((start <= at) & (at <= end))).alias("outside_window"),
+    )
+
+
+def event_checks(lines: DataFrame) -> DataFrame:
+    """Item lines, and how many of them share user, session, product and timestamp with another one."""
+    key = ["user_pseudo_id", "session_id", "item_name", "event_timestamp"]
+    same = lines.groupBy(*key).agg(F.count("*").alias("n"))
+    return same.agg(
+        F.sum("n").alias("lines"), F.count("*").alias("keys"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeated_lines")
+    )

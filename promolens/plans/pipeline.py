@@ -57,17 +57,28 @@ def prepare_catalog(t: CatalogTables, cfg: RunConfig) -> Catalog:
     )
 
 
-def stage_events(daily: DataFrame, intraday: DataFrame, cfg: RunConfig, path: str) -> DataFrame:
+def stage_events(
+    daily: DataFrame, intraday: DataFrame, cfg: RunConfig, path: str, days: DataFrame | None = None
+) -> DataFrame:
     """Write the narrow unified events once, partitioned by event name. Attempts then read 3 of its 9 partitions and
     sessions read only a few narrow columns of it, instead of both scanning the nested export.
 
     The rebalance keeps files well sized: a frequent event is split over many tasks, and no task writes a small file
-    for each of the nine names."""
-    events = narrow_events(unified_events(daily, intraday, cfg), cfg)
-    events.hint("rebalance", "event_name").write.mode("overwrite").partitionBy("event_name").parquet(path)
+    for each of the nine names. ``days`` (column ``ds``) lists the days that have daily rows, for instance from
+    partition metadata; without it the daily side is asked."""
+    events = narrow_events(unified_events(daily, intraday, cfg, days=days), cfg)
+    writer = events.hint("rebalance", "event_name").write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("event_name").parquet(path)
     return daily.sparkSession.read.schema(events.schema).parquet(path)
 
 
+def enriched_table(window: DataFrame, catalog: Catalog, cfg: RunConfig, path: str) -> DataFrame:
+    """Enriched attempts, written once: the session totals and the rows themselves read them."""
+    rows = enrich_attempts(window, catalog, cfg)
+    rows.write.mode("overwrite").parquet(path)
+    return window.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def analyze(priced: DataFrame, combos: DataFrame) -> Report:
     """KPIs and promotion incidence of a priced funnel table."""
     report = kpis.session_kpis(kpis.session_rollup(priced))
@@ -89,21 +100,22 @@ def run_full(
     cfg: RunConfig,
     out: str,
     csv: bool = False,
+    days: DataFrame | None = None,
 ) -> Report:
     """Events and catalogue to the four result tables below ``out``, then the reports.
 
     Each stage is a written table: it is the deliverable, it cuts the lineage for the next stage, and a rerun after
-    a failure can start from the last finished one.
+    a failure can start from the last finished one. A run replaces what an earlier run left below ``out``.
     """
     apply_recommended(spark)
     out = out.rstrip("/")
-    events = stage_events(daily, intraday, cfg, f"{out}/events")
+    events = stage_events(daily, intraday, cfg, f"{out}/events", days)
     write_clustered(conform(attempts(events, cfg), ATTEMPTS_DDL), f"{out}/attempts", *LAYOUT["attempts"])
     write_clustered(conform(sessions(events, cfg), SESSIONS_DDL), f"{out}/sessions", *LAYOUT["sessions"])
 
     catalog = prepare_catalog(tables, cfg)
     window = attempts_window(read_result(spark, f"{out}/attempts", ATTEMPTS_DDL), cfg)
-    load_table(patterns(enrich_attempts(window, catalog, cfg), catalog), f"{out}/patterns", PATTERNS_DDL)
+    load_table(patterns(enriched_table(window, catalog, cfg, f"{out}/enriched"), catalog), f"{out}/patterns", PATTERNS_DDL)
     found = read_result(spark, f"{out}/patterns", PATTERNS_DDL)
     if csv:
         export_csv(found, f"{out}/patterns_csv")

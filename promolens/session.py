@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,6 @@ RECOMMENDED = {
     # Split a hot (user, session) in the wide left joins even where a later step must shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -40,12 +38,14 @@ def apply_recommended(spark: SparkSession) -> None:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``; a temporary one only for an unset local session."""
+    """A fresh folder under ``spark.checkpoint.dir``, which all executors share. Where it is unset, a single-machine
+    session works below its warehouse; any other master, ``local-cluster`` included, must set it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="promolens-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/promolens-{uuid.uuid4().hex}"
 
 

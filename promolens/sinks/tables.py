@@ -13,40 +13,42 @@ from promolens.sources.tables import read_csv
 
 log = logging.getLogger(__name__)
 
-# Partition and cluster columns of each result table, then the keys that may split a hot cluster value.
+# Partition and cluster columns of each result table.
 LAYOUT = {
-    "attempts": ("attempt_date", ("ITEM", "STATUS"), ("USER", "SESION")),
-    "sessions": ("session_date", ("user_pseudo_id", "session_id"), ("session_start_mx",)),
-    "funnel": ("attempt_date", ("ITEM", "STATUS", "login_bucket_bc"), ("user_pseudo_id", "session_id")),
+    "attempts": ("attempt_date", ("ITEM", "STATUS")),
+    "sessions": ("session_date", ("user_pseudo_id", "session_id")),
+    "funnel": ("attempt_date", ("ITEM", "STATUS", "login_bucket_bc")),
 }
 
 
-def write_clustered(
-    df: DataFrame, path: str, partition: str, cluster: tuple[str, ...], split: tuple[str, ...] = (), mode: str = "overwrite"
-) -> None:
+def write_clustered(df: DataFrame, path: str, partition: str, cluster: tuple[str, ...], mode: str = "overwrite") -> None:
     """Create or replace a table partitioned by date with rows clustered inside each partition.
 
-    Rows are range-partitioned on date and cluster columns, so a file covers a narrow key range and row groups can be
-    skipped by statistics. ``split`` columns extend the range key: a date or product with a large share of the rows
-    is then cut into several files instead of one huge task.
+    Rows are rebalanced on date and first cluster column and sorted, so a file covers few keys and row groups can be
+    skipped by statistics. Adaptive execution splits a date or product with a large share of the rows and joins small
+    ones, without a sample of the input. An overwrite replaces the whole table, also the partitions that ``df`` lacks,
+    whatever the session says about partition overwrites.
     """
     ordered = (partition, *cluster)
     (
-        df.repartitionByRange(*ordered, *split)
+        df.hint("rebalance", *ordered[:2])
         .sortWithinPartitions(*ordered)
         .write.partitionBy(partition)
         .mode(mode)
+        .option("partitionOverwriteMode", "static")
         .parquet(path)
     )
 
 
-def load_table(df: DataFrame, path: str, ddl: str, mode: str = "overwrite", partition: str | None = None) -> None:
-    """Conform to the declared schema and write. With ``partition``, an overwrite replaces only the partitions that
-    occur in ``df`` when dynamic partition overwrite is on."""
+def load_table(
+    df: DataFrame, path: str, ddl: str, mode: str = "overwrite", partition: str | None = None, only_present: bool = False
+) -> None:
+    """Conform to the declared schema and write. An overwrite replaces the whole table; with ``partition`` and
+    ``only_present`` it replaces the partitions that occur in ``df`` and leaves the others."""
     writer = conform(df, ddl).write.mode(mode)
     if partition is not None:
         writer = writer.partitionBy(partition)
-    writer.parquet(path)
+    writer.option("partitionOverwriteMode", "dynamic" if only_present else "static").parquet(path)
 
 
 def load_from_csv(spark: SparkSession, csv_path: str, path: str, ddl: str, **options: str) -> None:

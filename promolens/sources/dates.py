@@ -15,8 +15,10 @@ LAYOUTS = (
 # Text that stands for a missing date.
 NULL_TEXT = ("", "NaT", "nat", "NaN", "nan", "NULL", "null", "None", "N/A", "NA", "<NA>")
 
-_SLASH = r"^(\d{1,2})/(\d{1,2})/(\d{4})(| \d{1,2}:\d{1,2}(?::\d{1,2})?)$"
-_ANY = r"^(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}/\d{4})(?: \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"
+_SLASH = r"^(\d{1,2})/(\d{1,2})/(\d{4})(| .*)$"
+_CLOCK = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?"
+_ANY = rf"^(?:\d{{4}}-\d{{1,2}}-\d{{1,2}}|\d{{1,2}}/\d{{1,2}}/\d{{4}})(?: {_CLOCK})?$"
+_OFFSET = r"(?<=\d)\s*(Z|[+-]\d{2}:?\d{2})$"
 
 
 def _wall(text: Column, slash_order: str) -> Column:
@@ -24,7 +26,8 @@ def _wall(text: Column, slash_order: str) -> Column:
     no part; impossible dates are NULL."""
     iso = F.regexp_replace(text, _SLASH, slash_order)
     timed = F.regexp_replace(iso, r"^(\S+ \d{1,2}:\d{1,2})$", "$1:00")
-    return F.when(text.rlike(_ANY), timed.try_cast("timestamp_ntz"))
+    short = F.regexp_replace(timed, r"(\.\d{6})\d+$", "$1")
+    return F.when(text.rlike(_ANY), short.try_cast("timestamp_ntz"))
 
 
 def _day_first(text: Column) -> Column:
@@ -36,6 +39,22 @@ def _mixed(text: Column) -> Column:
     return F.coalesce(_wall(text, "$3-$1-$2$4"), _day_first(text))
 
 
+def mixed_moment(text: Column) -> Column:
+    """Value by value, with further ISO forms: ``T`` before the time, year-first slashes, fractions of a second, and an
+    offset, which makes the value a UTC wall clock. NULL for anything else."""
+    plain = F.trim(text)
+    clock = plain.contains(":")
+    zone = F.when(clock, F.regexp_extract(plain, _OFFSET, 1)).otherwise(F.lit(""))
+    bare = F.when(zone != "", F.regexp_replace(plain, _OFFSET, "")).otherwise(plain)
+    bare = F.regexp_replace(bare, r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
+    bare = F.regexp_replace(bare, r"^(\d{4}-\d{1,2}-\d{1,2})T", "$1 ")
+    sign = F.when(zone.startswith("-"), -1).otherwise(1)
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    minutes = F.coalesce(F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int"), F.lit(0))
+    zero = F.lit(0)
+    return _mixed(bare) - F.make_dt_interval(zero, zero, sign * minutes, zero.cast("decimal(18,6)"))
+
+
 def date_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """One aggregate row: per column, how many values each layout leaves unread, how many the mixed reading leaves
     unread, and how many are null-like text."""
@@ -47,7 +66,7 @@ def date_profile(df: DataFrame, columns: list[str]) -> DataFrame:
             layout = F.when(text.rlike(LAYOUTS[j]), F.lit(j)).otherwise(layout)
         facts += [
             F.when(_day_first(text).isNotNull(), layout).alias(f"layout{i}"),
-            _mixed(text).isNotNull().alias(f"mixed{i}"),
+            mixed_moment(text).isNotNull().alias(f"mixed{i}"),
             text.isin(*NULL_TEXT).alias(f"blank{i}"),
         ]
     out = []
@@ -79,5 +98,5 @@ def standardize_dates(df: DataFrame, columns: list[str]) -> DataFrame:
         if any(found[f"unread{i}_{j}"] == 0 for j in range(len(LAYOUTS))):
             out[c] = _day_first(F.col(c))
         elif found[f"mixed{i}"] == 0:
-            out[c] = _mixed(F.col(c))
+            out[c] = mixed_moment(F.col(c))
     return df.withColumns(out) if out else df

@@ -1,5 +1,6 @@
 import random
 from collections import defaultdict
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,3 +172,16 @@ def test_session_markers_match_brute_force(spark):
         login = w["first"].get("login")
         seen = login is not None and any(t >= login for t in w["disc"])
         assert g.seen == (None if g.session_id is None else seen)
+
+
+def test_a_hot_hour_without_user_and_session_is_numbered_alike_for_any_slice_width(spark):
+    rows = [
+        event(user=None, session=None, name=("purchase" if i % 7 == 0 else "add_to_cart"), at=i * 11, items=[("a", 1)], txn=f"t{i}", bundle=i)
+        for i in range(300)
+    ]
+    results = []
+    for minutes in (1, 60, 600):
+        df = spark.createDataFrame(rows, EVENTS)
+        got = att.attempts(df, replace(CFG, chunk_minutes=minutes)).select("INTENTO", "qty_add_to_cart", "qty_purchase").collect()
+        results.append(sorted(map(tuple, got)))
+    assert results[0] == results[1] == results[2] and len(results[0]) == 44

@@ -1,5 +1,4 @@
 import itertools
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,40 +7,38 @@ from promolens.config import ITEM_OVERRIDES, NAME_REWRITES
 from promolens.functions import labels, rules, text, times
 
 
-def expected_rule(qty, kind, n, m):
-    if not qty or n is None:
-        return False
-    top = m or n
-    return {
-        1: lambda: qty == n,
-        2: lambda: qty >= n,
-        3: lambda: qty <= n,
-        4: lambda: n <= qty <= top,
-        5: lambda: qty >= n,
-        6: lambda: n != 0 and qty >= n and qty % n == 0,
-        7: lambda: n > 0 and qty % n == 0,
-    }.get(kind, lambda: False)()
-
-
-def test_quantity_rule_and_bounds_on_the_whole_grid(spark):
-    grid = list(
-        itertools.product(
-            [None, 0, 1, 2, 3, 4, 5, 6, 9], [None, 1, 2, 3, 4, 5, 6, 7, 8], [None, -2, 0, 1, 2, 3], [None, 0, 2, 5]
-        )
-    )
+# Worked out by hand: which of the quantities 1 to 12 meet (type, n, m). Any other combination below meets none.
+MEETS = {
+    (1, 1, None): {1}, (1, 2, None): {2}, (1, 3, None): {3},
+    (2, 0, None): set(range(1, 13)), (2, 1, None): set(range(1, 13)), (2, 3, None): {3, 4, 5, 6, 7, 8, 9, 10, 11, 12},
+    (2, -2, None): set(range(1, 13)),
+    (3, 1, None): {1}, (3, 3, None): {1, 2, 3}, (3, 4, None): {1, 2, 3, 4},
+    (4, 2, 5): {2, 3, 4, 5}, (4, 3, None): {3}, (4, 3, 0): {3}, (4, 2, 2): {2}, (4, 0, 5): {1, 2, 3, 4, 5}, (4, -2, 5): {1, 2, 3, 4, 5},
+    (5, 2, None): {2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12}, (5, 4, None): {4, 5, 6, 7, 8, 9, 10, 11, 12},
+    (6, 1, None): set(range(1, 13)), (6, 2, None): {2, 4, 6, 8, 10, 12}, (6, 3, None): {3, 6, 9, 12}, (6, 4, None): {4, 8, 12},
+    (6, -2, None): {2, 4, 6, 8, 10, 12},
+    (7, 1, None): set(range(1, 13)), (7, 3, None): {3, 6, 9, 12}, (7, 4, None): {4, 8, 12},
+}
+NONE_MEETS = [
+    (1, 0, None), (1, -2, None), (3, 0, None), (3, -2, None), (4, 5, 2), (6, 0, None), (7, 0, None), (7, -2, None), (8, 3, None),
+    (None, 3, None), *[(k, None, None) for k in range(1, 9)], (4, None, 5),
+]
+
+
+def test_rules_on_hand_made_cases(spark):
+    quantities = [None, 0, *range(1, 13)]
+    cases = {**MEETS, **{c: set() for c in NONE_MEETS}}
+    grid = [(q, *case) for case in cases for q in quantities]
     df = spark.createDataFrame(grid, "q bigint, kind bigint, n bigint, m bigint")
     q, kind, n, m = (F.col(c) for c in ("q", "kind", "n", "m"))
     b = rules.rule_bounds(kind, n, m)
-    by_bounds = F.coalesce((q != 0) & rules.meets(q, b["lo"], b["hi"], b["step"]), F.lit(False))
     got = df.select(
-        "q", "kind", "n", "m", rules.quantity_rule(q, kind, n, m).alias("rule"), by_bounds.alias("bounds"),
-        rules.near_miss(q, n).alias("near"),
+        "q", "kind", "n", "m", rules.meets(q, b["lo"], b["hi"], b["step"]).alias("met"), rules.one_short(q, n - 1).alias("near")
     ).collect()
     for r in got:
-        want = expected_rule(r.q, r.kind, r.n, r.m)
-        assert r.rule == want, r
-        assert r.bounds == want, r
-        assert r.near == (r.q is not None and r.n is not None and r.q == r.n - 1), r
+        assert r.met == (r.q in cases[r.kind, r.n, r.m]), r
+    near = {(r.q, r.n) for r in got if r.near}
+    assert near == {(1, 2), (2, 3), (3, 4), (4, 5)}
 
 
 def test_quantity_text(spark):
@@ -55,33 +52,20 @@ def test_quantity_text(spark):
     ]
 
 
-NAMES = [
-    "123", "5 6 X", "5° X", "5 °X  ", "LQ 12", "LQ12", "X LQ Y", "Sorteo Efectivo 3", "El Sorteo Efectivo", "X 12 12",
-    "X 5 55", "X 12  12", "Gana Ya", "Sorteo Educativo 7 7", "", "LQ LQ 4", "12° LQ", None,
-]
-
-
-def expected_clean(name):
-    if name is None:
-        return None
-    lead = re.match(r"^(\d+)\s*°?\s*(.*)$", name)
-    if lead:
-        name = lead.group(2).strip() + " " + lead.group(1)
-    for old, new in NAME_REWRITES:
-        if re.match(rf"^{old}\s*\d+", name):
-            name = new + name[len(old):]
-            break
-        if old in name:
-            name = name.replace(old, new)
-            break
-    return re.sub(r"(\b\d+)\s+\1$", r"\1", name)
+# Worked out by hand from the description of the three steps: leading number to the end, rewrite, drop a repeated number.
+CLEAN = {
+    "123": " 123", "5 6 X": "6 X 5", "5° X": "X 5", "5 °X  ": "X 5", "LQ 12": "Sorteo Lo Quiero 12", "LQ12": "Sorteo Lo Quiero12",
+    "X LQ Y": "X Sorteo Lo Quiero Y", "Sorteo Efectivo 3": "Efectivo 3", "El Sorteo Efectivo": "El Efectivo", "X 12 12": "X 12",
+    "X 5 55": "X 5 55", "X 12  12": "X 12", "Gana Ya": "Gana Ya", "Sorteo Educativo 7 7": "Sorteo Educativo 7", "": "",
+    "LQ LQ 4": "Sorteo Lo Quiero Sorteo Lo Quiero 4", "12° LQ": "Sorteo Lo Quiero 12", None: None,
+}
 
 
 def test_clean_item(spark):
-    df = spark.createDataFrame([(n,) for n in NAMES], "x string")
+    df = spark.createDataFrame([(n,) for n in CLEAN], "x string")
     clean = text.clean_item(F.col("x"), NAME_REWRITES)
     for r in df.select("x", clean.alias("c"), text.override_item(clean, ITEM_OVERRIDES).alias("o")).collect():
-        assert r.c == expected_clean(r.x), r.x
+        assert r.c == CLEAN[r.x], r.x
         assert r.o == ("Gana Ya 5" if r.c == "Gana Ya" else r.c)
 
 

@@ -86,14 +86,13 @@ def test_kpi_groups_and_headline(spark):
     assert kpis.kpi_summary(alone).first()[0] is None
 
 
-@pytest.mark.parametrize("inline", [20_000, 0])
-def test_row_and_session_flags(spark, inline):
+def test_row_and_session_flags(spark):
     combos = spark.createDataFrame([(7,), (8,)], "clave_promocion bigint")
     rows = [
         fact("a", 1, full=[1], near=[7]), fact("a", 1, near=[2], attempt=2), fact("b", 1, full=[8]),
         fact("c", 1, full=None, near=None), fact("d", None, near=[7]),
     ]
-    flags = kpis.promo_row_flags(funnel_frame(spark, rows), combos, inline_ids=inline)
+    flags = kpis.promo_row_flags(funnel_frame(spark, rows), combos)
     got = {(r.user_pseudo_id, r.intento): [r[c] for c in kpis.ROW_FLAGS] for r in flags.collect()}
     assert got[("a", 1)] == [False, True, True, False] and got[("a", 2)] == [True, False, False, False]
     assert got[("b", 1)] == [False, False, False, True] and got[("c", 1)] == [False] * 4
@@ -105,6 +104,31 @@ def test_row_and_session_flags(spark, inline):
     assert inc.pct_combinada_incompleta_sobre_con_combinada == 0.5
 
 
+def test_row_flags_start_no_job_and_hold_no_ids(spark):
+    combos = spark.range(50_000).withColumnRenamed("id", "clave_promocion")
+    frame = funnel_frame(spark, [fact("a", 1, near=[7])])
+    group = "row-flags"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        flags = kpis.promo_row_flags(frame, combos)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup(group) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    text = flags._jdf.queryExecution().toString()
+    assert "collect_set" not in text and " IN (" not in text and "INSET" not in text
+
+
+def test_validity_and_event_checks(spark):
+    spans = spark.sql("select 1L clave_promocion, date'2024-01-01' d_inicio_promocion, timestamp_ntz'2024-01-10 00:00:00' d_cierre_promocion "
+                      "union all select 2L, null, null")
+    rows = [("2024-01-05 00:00:00", [1, 2], [], []), ("2024-02-05 00:00:00", [1, 3], [1], None)]
+    df = spark.createDataFrame(rows, "t string, PROMOS_ADD_CART_COMPLETAS array<bigint>, PROMOS_CHECKOUT_COMPLETAS array<bigint>, PROMOS_PURCHASE_COMPLETAS array<bigint>")
+    got = quality.validity_checks(df.withColumn("attempt_dt_mx", F.col("t").cast("timestamp_ntz")), spans)
+    assert sorted(map(tuple, got.collect())) == [("ADD_CART", 4, 2, 1), ("CHECKOUT", 1, 0, 1)]
+    lines = spark.createDataFrame([("u", 1, "a", 5)] * 3 + [("u", 1, "b", 5), ("u", None, "a", 5)], "user_pseudo_id string, session_id bigint, item_name string, event_timestamp bigint")
+    assert tuple(quality.event_checks(lines).first()) == (5, 3, 3)
+
+
 def test_flags_without_combined_promotions(spark):
     none = spark.createDataFrame([], "clave_promocion bigint")
     flags = kpis.promo_row_flags(funnel_frame(spark, [fact("a", 1, near=[7])]), none).first()

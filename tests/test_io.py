@@ -8,12 +8,12 @@ from promolens.schemas import EVENT_DDL, FUNNEL_DDL, PATTERNS_DDL, ATTEMPTS_DDL,
 from promolens.sinks import tables as sinks
 from promolens.sources import events as src
 from promolens.sources.dates import standardize_dates
-from promolens.sources.tables import read_csv, read_result
+from promolens.sources.tables import read_csv, read_result, unread_values
 
 CFG = RunConfig(date_start=dt.date(2024, 1, 1), date_end=dt.date(2024, 1, 31))
 
 
-def test_declared_schema_sizes():
+def test_declared_schema_sizes(spark):
     assert [len(schema_of(d)) for d in (ATTEMPTS_DDL, SESSIONS_DDL, PATTERNS_DDL, FUNNEL_DDL)] == [19, 22, 41, 58]
 
 
@@ -101,16 +101,17 @@ def test_clustered_write_splits_a_hot_value_and_prunes(spark, tmp_path):
         F.col("id").cast("string").alias("USER"),
     )
     path = str(tmp_path / "t")
-    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    # Adaptive execution splits above the advisory size, so a small one stands for a large hot value.
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
     try:
-        sinks.write_clustered(df, path, "day", ("ITEM",), ("USER",))
+        sinks.write_clustered(df, path, "day", ("ITEM",))
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     back = spark.read.parquet(path)
     assert back.count() == 4000
     sizes = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
-    assert len(sizes) == 4 and max(sizes) < 2000
+    assert len(sizes) >= 3 and max(sizes) < 3900
 
 
 def test_load_table_replaces_only_the_partitions_it_brings(spark, tmp_path):
@@ -121,8 +122,38 @@ def test_load_table_replaces_only_the_partitions_it_brings(spark, tmp_path):
         return spark.createDataFrame([(k, dt.date(2024, 1, d)) for k, d in pairs], ddl)
 
     sinks.load_table(rows((1, 1), (2, 2)), path, ddl, partition="day")
-    sinks.load_table(rows((3, 2)), path, ddl, partition="day")
+    sinks.load_table(rows((3, 2)), path, ddl, partition="day", only_present=True)
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 3]
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        sinks.load_table(rows((4, 3)), path, ddl, partition="day")
+        assert [r.k for r in spark.read.parquet(path).collect()] == [4]
+        sinks.write_clustered(rows((5, 4)), path, "day", ("k",))
+        assert [r.k for r in spark.read.parquet(path).collect()] == [5]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_csv_values_that_do_not_fit_become_null(spark, tmp_path):
+    text = "id,day,moment,x\n12.0,2024/01/05,2024-01-05T10:11:12.500,1e2\n,31/02/2024,2024-01-05 10:11:12,y\nz,05/01/2024,2024-01-05T10:11:12+02:00,2\n7,,2024-01-05T23:30:00-0130,\n"
+    (tmp_path / "in.csv").write_text(text, encoding="utf-8")
+    ddl = "id bigint, day date, moment timestamp_ntz, x double"
+    sinks.load_from_csv(spark, str(tmp_path / "in.csv"), str(tmp_path / "t"), ddl)
+    got = [tuple(None if v is None else str(v) for v in r) for r in read_result(spark, str(tmp_path / "t"), ddl).collect()]
+    assert got == [
+        ("12", "2024-01-05", "2024-01-05 10:11:12.500000", "100.0"), (None, None, "2024-01-05 10:11:12", None),
+        (None, "2024-05-01", "2024-01-05 08:11:12", "2.0"), ("7", None, "2024-01-06 01:00:00", None),
+    ]
+    assert unread_values(spark, str(tmp_path / "in.csv"), ddl).first().asDict() == {"id": 1, "day": 1, "moment": 0, "x": 1}
+
+
+def test_an_exported_table_loads_back(spark, tmp_path):
+    df = spark.sql("select 1L a, date'2024-01-05' d, timestamp_ntz'2024-01-05 10:11:12.5' t, 2.5D x, 'n' s union all select null, null, null, null, null")
+    ddl = "a bigint, d date, t timestamp_ntz, x double, s string"
+    sinks.export_csv(df, str(tmp_path / "csv"))
+    sinks.load_from_csv(spark, str(tmp_path / "csv"), str(tmp_path / "t"), ddl)
+    assert sorted(map(str, read_result(spark, str(tmp_path / "t"), ddl).collect())) == sorted(map(str, df.collect()))
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark):

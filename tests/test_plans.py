@@ -1,5 +1,8 @@
 """Plan shapes, the end-to-end run, and queries against their SQL."""
 
+import datetime as dt
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ from promolens.operators import sessions as ses
 from promolens.operators.funnel import bucket_of_session
 from promolens.plans.pipeline import combos_of, prepare_catalog, run_full, run_short
 from promolens.schemas import FUNNEL_DDL
+from promolens.sources.events import event_days
 from promolens.sources.tables import CATALOG_TABLES, read_catalog, read_result
 
 
@@ -35,7 +39,8 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize(
     "name",
-    ["unified_events", "attempt_ids", "attempts", "sessions", "combo_catalog", "promo_conditions", "quantity_rule", "patterns", "price_inference"],
+    ["unified_events", "attempt_ids", "attempts", "sessions", "combo_catalog", "promo_conditions", "quantity_rule", "patterns", "patterns_joined", "csv_ingest",
+     "rerun_replaces", "price_inference", "validity_checks"],
 )
 def test_query_matches_sql(spark, sf, name):
     result, _ = compare(spark, connect(sf), name, QUERIES[name], ORACLES[name], sf)
@@ -71,6 +76,23 @@ def test_full_run_agrees_with_the_queries(spark, sf, run):
     assert len(stored.columns) == 58 and stored.select("login_bucket_bc").distinct().count() > 5
 
 
+def test_a_rerun_replaces_the_earlier_one(spark, sf, tmp_path):
+    """A narrower window without one event, into the folder of a wider run, gives what a fresh folder gives."""
+    fx = Fixture(spark, sf)
+    daily, intraday = fx.write_events(str(tmp_path / "export"))
+    narrow = replace(CFG, date_end=dt.date(2024, 1, 10))
+    some = [e.where("event_name <> 'sign_up'") for e in (daily, intraday)]
+    days = event_days(daily, narrow)
+    run_full(spark, daily, intraday, fx.catalog, CFG, str(tmp_path / "used"))
+    again = run_full(spark, *some, fx.catalog, narrow, str(tmp_path / "used"), days=days)
+    fresh = run_full(spark, *some, fx.catalog, narrow, str(tmp_path / "fresh"))
+    assert again.kpis.first().asDict() == pytest.approx(fresh.kpis.first().asDict())
+    assert again.kpis.first()["total_sesiones_count"] > 0
+    for name in ("events", "attempts", "sessions", "patterns", "funnel"):
+        used, new = (spark.read.parquet(str(tmp_path / x / name)) for x in ("used", "fresh"))
+        assert used.count() == new.count()
+
+
 def test_short_run_reproduces_the_full_run(spark, run, tmp_path):
     fx, root, report = run
     table = read_result(spark, f"{root}/out/funnel", FUNNEL_DDL)
