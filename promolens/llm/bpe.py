@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from promolens.llm.common import BASE, SYMBOLS, U64, blocks, mix, ragged, ranges_hash, sha_slices
 
-KEPT_WORDS = 1 << 21
+KEPT_WORDS = 1 << 20
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>, decoded string"
 LETTER, NUMBER, SPACE = 1, 2, 3
 # White space of the pre-tokeniser, and the endings that an apostrophe starts.

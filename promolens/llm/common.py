@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import hashlib
 from collections.abc import Iterable, Iterator
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from promolens.session import stage
 
 U64 = np.uint64
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -86,16 +87,27 @@ def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """Cut batches into blocks of at most ``limit`` bytes of text, or of one text if that is longer."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        data, cuts = text_arrays(batch.column(batch.schema.get_field_index(column)))
-        first = 0
-        while first < batch.num_rows:
-            last = int(np.searchsorted(cuts, cuts[first] + limit, "right")) - 1
-            last = min(max(last, first + 1), batch.num_rows)
-            yield Block(data[cuts[first] : cuts[last]], cuts[first : last + 1] - cuts[first], batch.slice(first, last - first))
-            first = last
+    try:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            data, cuts = text_arrays(batch.column(batch.schema.get_field_index(column)))
+            first = 0
+            while first < batch.num_rows:
+                last = int(np.searchsorted(cuts, cuts[first] + limit, "right")) - 1
+                last = min(max(last, first + 1), batch.num_rows)
+                yield Block(data[cuts[first] : cuts[last]], cuts[first : last + 1] - cuts[first], batch.slice(first, last - first))
+                first = last
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Workers outlive tasks, and what they hold counts against their executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 @dataclass

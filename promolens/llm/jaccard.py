@@ -361,3 +361,27 @@ def representatives(docs: DataFrame, rule: Rule) -> DataFrame:
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), sh AS (
+    SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 3], ' ')) AS s FROM w, unnest(range(1, greatest(len(ws) - 2, 2))) AS t(i)
+    WHERE len(ws) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_ FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both_ >= 85 * (x.n + y.n - both_)
+), reach AS (
+    SELECT doc_id AS id, doc_id AS root FROM documents
+    UNION
+    SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.id
+)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id
+FROM documents d JOIN reach ON reach.id = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id GROUP BY d.doc_id
+"""

@@ -216,7 +216,7 @@ WITH RECURSIVE v AS (
     SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
 ), good AS (
-    SELECT * FROM v WHERE len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0
+    SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
 ), link AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
     WHERE list_cosine_similarity(a.e, b.e) >= 0.98

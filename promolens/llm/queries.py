@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from promolens.llm.bpe import op3_bpe
-from promolens.llm.jaccard import op2_ngram_jaccard
+from promolens.llm.jaccard import OP2_SQL, op2_ngram_jaccard
 from promolens.llm.lattice import OP5_SQL, op5_lattice
 from promolens.llm.packing import op4_packing
 from promolens.llm.pii import op9_pii
 from promolens.llm.quality import op7_quality
-from promolens.llm.substring_dedup import op1_substring_dedup
+from promolens.llm.substring_dedup import OP1_SQL, op1_substring_dedup
 from promolens.llm.suffix_dedup import op6_suffix_dedup
 from promolens.llm.tool_chat import OP10_SQL, op10_tool_chat
-from promolens.llm.warc import op8_warc
+from promolens.llm.warc import OP8_SQL, op8_warc
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -27,6 +27,9 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
+    "op2_ngram_jaccard": OP2_SQL,
     "op5_lattice": OP5_SQL,
+    "op8_warc": OP8_SQL,
     "op10_tool_chat": OP10_SQL,
 }

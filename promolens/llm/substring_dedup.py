@@ -90,3 +90,24 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, texts: bool = True) -
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), texts=False)
+
+
+OP1_SQL = r"""
+WITH w AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), win AS (
+    SELECT rid, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h FROM w, unnest(range(1, len(ws) - 33)) AS t(i)
+), gone AS (
+    SELECT DISTINCT rid, p FROM win, unnest(range(i, i + 35)) AS t(p)
+    WHERE h IN (SELECT h FROM win GROUP BY h HAVING count(*) > 1)
+), runs AS (
+    SELECT rid, count(*) AS n_removed, count(*) FILTER (first) AS n_spans
+    FROM (SELECT rid, p, coalesce(p - 1 <> lag(p) OVER (PARTITION BY rid ORDER BY p), TRUE) AS first FROM gone) GROUP BY rid
+), kept AS (
+    SELECT w.rid, string_agg(ws[p], ' ' ORDER BY p) AS k FROM w, unnest(range(1, len(ws) + 1)) AS t(p)
+    WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.rid = w.rid AND gone.p = t.p) GROUP BY w.rid
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256,
+       coalesce(n_spans, 0) AS n_spans
+FROM w LEFT JOIN runs USING (rid) LEFT JOIN kept USING (rid)
+"""

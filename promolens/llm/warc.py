@@ -228,4 +228,20 @@ def warc_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return warc_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("url_key", "captured")
+
+
+OP8_SQL = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h,
+           max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest
+    FROM pages
+)
+SELECT page_id, payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            CAST((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31 AS INT) + 1, 1)
+            FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN largest > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN largest > page_id THEN largest END AS refers_to
+FROM p
+"""
