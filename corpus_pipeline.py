@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from promolens.llm.common import keep
 from promolens.llm.jaccard import Rule, representatives
 from promolens.llm.packing import best_fit_packing
-from promolens.llm.pii import redact
+from promolens.llm.pii import ANY, redact
 from promolens.llm.quality import accepted
 from promolens.llm.suffix_dedup import without_repeats
 
@@ -41,7 +41,7 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it become labels."""
-    return _sized(redact(docs))
+    return _sized(redact(docs, support=ANY))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

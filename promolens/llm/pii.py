@@ -3,8 +3,8 @@
 Base spans are what four patterns find and their checks confirm. Information-theoretic sanitisation adds terms: over
 the whole corpus, the documents in which a term stands near a protected entity are counted. With n documents,
 information content IC(e) = log2(n / n_e) and PMI(t, e) = log2(n * n_te / (n_t * n_e)), a term discloses the entity if
-PMI >= IC / ALPHA and at least SUPPORT different texts show the two together. Disclosing terms become spans in the texts
-in which their entity stands; words without digits are removed or generalised there as entities are.
+PMI >= IC / ALPHA and at least ``support`` different texts show the two together; the query and the pipeline ask for one
+text (ANY), so entities of any frequency are protected. Disclosing terms become spans in the texts in which their entity stands; words without digits are removed or generalised there as entities are.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ KINDS = ("email", "ip", "card", "phone", "term")
 LABELS = {k: f"[{k.upper()}]" for k in KINDS}
 ALPHA = 1.25
 SUPPORT = 3
+ANY = 1
 REACH = 64
 LEAST_LETTERS = 3
 # A match of the first two patterns can only start at the start of its run of characters or right after a match; saying
@@ -207,4 +208,4 @@ def redact(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> Dat
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"), support=ANY)

@@ -3,7 +3,8 @@ import math
 import re
 from collections import defaultdict
 
-from promolens.llm.pii import personal_data, redact
+import corpus_pipeline
+from promolens.llm.pii import op9_pii, personal_data, redact
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -102,3 +103,13 @@ def test_redaction_of_overlaps_and_edges(make_docs):
     assert out.columns == df.columns
     assert sorted((str(r.doc_id), r.text) for r in out.collect() if r.text) == [("2", "[EMAIL]"), ("3", "漢 [EMAIL] 漢"), ("None", "+[CARD]")]
     assert redact(make_docs([])).count() == 0 and personal_data(make_docs([])).count() == 0
+
+
+def test_query_and_pipeline_protect_entities_of_one_text(spark, make_docs, tmp_path):
+    texts = ["one off Zebra z@y.example", *["copied Yak k@y.example here"] * 3, *(f"plain words one off copied here {i}" for i in range(40))]
+    docs = make_docs(texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.spans for r in op9_pii(spark, str(tmp_path)).collect()}
+    assert got[0] == "email:14:25,term:8:13" and got[1] == got[2] == got[3] == "email:11:22,term:7:10" and got[4] == ""
+    clean = {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, "").collect()}
+    assert clean[0] == "one off [TERM] [EMAIL]" and clean[1] == "copied [TERM] [EMAIL] here" and clean[4] == texts[4]
