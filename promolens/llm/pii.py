@@ -1,7 +1,7 @@
 """Personal data and the terms that give it away, with DataFrame functions only.
 
 Base spans are what four patterns find and their checks confirm. Information-theoretic sanitisation adds terms: over
-the whole corpus, the documents in which a term stands near a protected entity are counted. With n documents,
+the whole corpus, the documents that hold both a term and a protected entity, at any distance, are counted. With n documents,
 information content IC(e) = log2(n / n_e) and PMI(t, e) = log2(n * n_te / (n_t * n_e)), a term discloses the entity if
 PMI >= IC / ALPHA and at least ``support`` different texts show the two together; the query and the pipeline ask for one
 text (ANY), so entities of any frequency are protected. Disclosing terms become spans in the texts in which their entity stands; words without digits are removed or generalised there as entities are.
@@ -19,7 +19,6 @@ LABELS = {k: f"[{k.upper()}]" for k in KINDS}
 ALPHA = 1.25
 SUPPORT = 3
 ANY = 1
-REACH = 64
 LEAST_LETTERS = 3
 # A match of the first two patterns can only start at the start of its run of characters or right after a match; saying
 # so, and never giving back what was matched, keeps them linear without changing what they find.
@@ -111,49 +110,53 @@ def base_spans(df: DataFrame) -> DataFrame:
     return df.withColumn("base", F.concat(*names)).drop(*names)
 
 
-def _terms_near(start: Column, end: Column) -> Column:
-    """Different lower-case words of letters within REACH code points of a span; words cut by the reach are left out."""
-    before = F.substring(F.col("text"), F.greatest(start - REACH, F.lit(0)) + 1, F.least(start, F.lit(REACH)))
-    before = F.when(start > REACH, F.regexp_replace(before, r"^\S*", "")).otherwise(before)
-    after = F.substring(F.col("text"), end + 1, F.lit(REACH))
-    after = F.when(F.length(after) == REACH, F.regexp_replace(after, r"\S*$", "")).otherwise(after)
-    plain = F.regexp_replace(F.concat_ws(" ", before, after), r"\S*[@0-9+]\S*", " ")
-    return F.array_distinct(F.regexp_extract_all(F.lower(plain), F.lit(r"\p{L}{%d,}" % LEAST_LETTERS), F.lit(0)))
+def _words(text: Column) -> Column:
+    """Different lower-case words of letters of a text."""
+    return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w) >= LEAST_LETTERS)
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, alpha: float, support: int) -> DataFrame:
-    """(key, terms): per text the terms that disclose one of its entities. ``found`` is the table of texts with spans."""
-    n = docs.count()
-    near = found.select("key", "copies", F.explode("near").alias("e")).select("key", "copies", "e.entity", F.explode("e.terms").alias("term")).distinct()
-    pairs = near.groupBy("entity", "term").agg(F.sum("copies").alias("n_te"), F.count("*").alias("texts")).filter(F.col("texts") >= support)
-    entities = found.select("key", "copies", F.explode(F.array_distinct(F.transform("near", lambda e: e["entity"]))).alias("entity"))
-    entities = entities.groupBy("entity").agg(F.sum("copies").alias("n_e"))
-    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"))
-    terms = docs.select(F.explode(words).alias("term")).filter(F.length("term") >= LEAST_LETTERS).groupBy("term").agg(F.count("*").alias("n_t"))
-    content = F.log2(F.lit(float(max(n, 1))) / F.col("n_e"))
-    pmi = F.log2(F.lit(float(max(n, 1))) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    telling = pairs.join(entities, "entity").join(terms, "term").filter((content > 0) & (pmi >= content / alpha)).select("entity", "term")
-    return near.join(telling, ["entity", "term"], "left_semi").groupBy("key").agg(F.collect_set("term").alias("terms"))
+    """(key, term): the terms of each text that disclose one of its entities. ``found`` has the texts with spans (key,
+    copies, entities, words).
+
+    Entities of the same texts have equal counts with every term and are counted as one.
+    """
+    n = F.lit(float(max(docs.count(), 1)))
+    each = found.select("key", "copies", F.explode("entities").alias("name"))
+    same = each.groupBy("name").agg(
+        F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"), F.sum("copies").alias("n_e")
+    )
+    entity = F.struct("x", "y", "n_e").alias("entity")
+    content = F.log2(n / F.col("n_e")).alias("content")
+    held = each.join(same, "name").select("key", "copies", entity, "n_e", content).filter("content > 0").distinct()
+    held = keep(held, "entities")
+    terms = docs.select(F.explode(_words(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    # PMI is at most log2(n / n_t): a term too frequent for that is not paired. The margin covers rounding.
+    most = F.log2(n / F.col("n_t")) + 1e-9
+    least = held.groupBy("key").agg(F.min("content").alias("least"))
+    rare = found.select("key", F.explode("words").alias("term")).join(least, "key").join(terms, "term").filter(most >= F.col("least") / alpha)
+    near = keep(held.join(rare.drop("least"), "key").filter(most >= F.col("content") / alpha), "near")
+    pairs = near.groupBy("entity", "n_e", "content", "term", "n_t").agg(F.sum("copies").alias("n_te"), F.count("*").alias("texts"))
+    pmi = F.log2(n * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
+    telling = pairs.filter((F.col("texts") >= support) & (pmi >= F.col("content") / alpha)).select("entity", "term")
+    return near.join(telling, ["entity", "term"], "left_semi").select("key", "term").distinct()
 
 
 def spans_by_text(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
     """(key, spans) of every text with personal data: base spans and, after them, those of disclosing terms."""
     text = docs.select(F.coalesce("text", F.lit("")).alias("text"), text_key().alias("key"))
     based = base_spans(text)
-    entity = F.transform(
-        "base",
-        lambda s: F.struct(F.concat_ws(":", s["kind"].cast("string"), F.lower(s["value"])).alias("entity"), _terms_near(s["start"], s["end"]).alias("terms")),
-    )
-    each = based.select("key", "base", entity.alias("near"))
+    entities = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"].cast("string"), F.lower(s["value"]))))
+    each = based.select("key", "base", entities.alias("entities"), F.when(F.size("base") > 0, _words(F.col("text"))).alias("words"))
     # Filtered after the aggregation: a filter before it would be pushed down and look for the spans a second time.
-    each = each.groupBy("key").agg(F.first("base").alias("base"), F.first("near").alias("near"), F.count("*").alias("copies"))
+    each = each.groupBy("key").agg(*(F.first(c).alias(c) for c in ("base", "entities", "words")), F.count("*").alias("copies"))
     found = keep(each.filter(F.size("base") > 0), "personal")
     terms = keep(disclosing_terms(docs, found, alpha, support), "terms")
-    held = text.join(terms, "key")
-    held = _located(held, "word", r"\p{L}+", F.lit(True))
-    hit = F.filter("word", lambda w: F.array_contains("terms", F.lower(w["value"])))
-    made = _spans(hit, 4)
-    termed = held.select("key", made.alias("more")).groupBy("key").agg(F.first("more").alias("more"))
+    held = text.join(terms.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    held = _located(held, "word", r"\p{L}+", F.lit(True)).select("key", F.explode("word").alias("w"))
+    hit = held.withColumn("term", F.lower("w.value")).join(terms, ["key", "term"], "left_semi")
+    span = F.struct(F.lit(4).alias("kind"), F.col("w.start").alias("start"), (F.col("w.start") + F.length("w.value")).alias("end"), F.col("w.value").alias("value"))
+    termed = hit.groupBy("key").agg(F.array_sort(F.collect_list(span)).alias("more"))
     none = F.array().cast(SPANS)
     # A term inside a base span needs no span of its own.
     outside = F.filter(F.coalesce("more", none), lambda w: ~F.exists("base", lambda b: (w["start"] < b["end"]) & (w["end"] > b["start"])))

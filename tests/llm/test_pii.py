@@ -113,3 +113,14 @@ def test_query_and_pipeline_protect_entities_of_one_text(spark, make_docs, tmp_p
     assert got[0] == "email:14:25,term:8:13" and got[1] == got[2] == got[3] == "email:11:22,term:7:10" and got[4] == ""
     clean = {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, "").collect()}
     assert clean[0] == "one off [TERM] [EMAIL]" and clean[1] == "copied [TERM] [EMAIL] here" and clean[4] == texts[4]
+
+
+def test_terms_far_from_their_entity(make_docs):
+    far = "filler " * 40
+    texts = [f"Quagga {'abcd'[i]} {far} q@y.example {far} Okapi" for i in range(4)] + [f"filler plain {i}" for i in range(60)]
+    got = {r.doc_id: r.text for r in redact(make_docs(texts)).collect()}
+    assert got[0] == f"[TERM] a {far} [EMAIL] {far} [TERM]" and got[4] == texts[4]
+    # Near its entity in some texts and far from it in others: one document count each.
+    texts = [f"Quagga q@y.example {i}" if i % 2 else f"Quagga {far} q@y.example {i}" for i in range(6)] + ["filler plain"] * 60
+    got = {r.doc_id: r.text for r in redact(make_docs(texts)).collect()}
+    assert all(got[i].startswith("[TERM] ") for i in range(6)) and got[6] == "filler plain"
