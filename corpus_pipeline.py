@@ -18,6 +18,8 @@ from promolens.llm.suffix_dedup import without_repeats
 
 #: Near duplicates: shingles of five words, similarity 0.8 or more.
 NEAR = Rule(words=5, num=80, den=100)
+#: Passages of over 50 words must not repeat, whatever their length in bytes.
+PASSAGE = 51
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -35,8 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings of 400 or more that repeat are cut out."""
-    return _sized(without_repeats(docs))
+    """Byte strings of 400 or more and passages of over 50 words that repeat are cut out."""
+    return _sized(without_repeats(docs, words=PASSAGE))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

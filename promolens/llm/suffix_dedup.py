@@ -43,7 +43,9 @@ from promolens.llm.common import (
     sha_slices,
     text_key,
     total_bytes,
+    words_of,
 )
+from promolens.llm.substring_dedup import repeated_word_spans
 
 THRESHOLD = 400
 REACH = 64
@@ -189,10 +191,26 @@ def _open_places(part: Block):
     return ragged(low, n), np.repeat(rows[:, 2] > 0, n)
 
 
+def _bytes_of_words(part: Block) -> list[bytes]:
+    """The ``passages`` of a block, pairs of word numbers, as byte ranges up to the next word."""
+    told = part.column("passages").to_pylist()
+    words = words_of(part.data, part.cuts, hashed=False)
+    counts = np.array([len(p) // 8 if p else 0 for p in told], np.int64)
+    pairs = np.frombuffer(b"".join(p for p in told if p), np.int32).reshape(-1, 2) + np.repeat(words.cuts[:-1], counts)[:, None]
+    more = pairs[:, 1] < np.repeat(words.cuts[1:], counts)
+    ends = words.ends[pairs[:, 1] - 1].copy()
+    ends[more] = words.starts[pairs[more, 1]]
+    out = (np.stack([words.starts[pairs[:, 0]], ends], 1) - np.repeat(part.cuts[:-1], counts)[:, None]).astype(np.int32)
+    at = np.r_[0, np.cumsum(counts)]
+    return [out[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in blocks(batches, limit=STEP):
         spans, more = part.column("spans").to_pylist(), part.column("more").to_pylist()
         starts, ends, counts = [], [], []
+        if "passages" in part.batch.schema.names:
+            more = [(b or b"") + c for b, c in zip(more, _bytes_of_words(part))]
         for i, (a, b) in enumerate(zip(spans, more)):
             pairs = np.frombuffer((a or b"") + (b or b""), np.int32).reshape(-1, 2).astype(np.int64)
             pairs = pairs[np.argsort(pairs[:, 0], kind="stable")] if b else pairs
@@ -219,8 +237,11 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _deduped(docs: DataFrame, row: Column, threshold: int) -> DataFrame:
-    """``row`` of every row of ``docs``, a struct, with the results for its text beside it."""
+def _deduped(docs: DataFrame, row: Column, threshold: int, words: int | None = None) -> DataFrame:
+    """``row`` of every row of ``docs``, a struct, with the results for its text beside it.
+
+    With ``words``, repeated passages of that many words are removed besides.
+    """
     if threshold < 80 + REACH:
         raise ValueError("threshold must be at least 144")
     bits = bucket_bits(total_bytes(docs) // 16)
@@ -241,8 +262,12 @@ def _deduped(docs: DataFrame, row: Column, threshold: int) -> DataFrame:
 
     pending = split.filter("pending")
     more = rounds.marks(pending.select("key", "text", "open"), make, finish, bits).withColumnRenamed("marks", "more")
-    ready = split.filter("not pending").select("row", "text", "spans", F.lit(None).cast("binary").alias("more"))
-    both = ready.unionByName(pending.join(more, "key", "left").select("row", "text", "spans", "more"))
+    ready = split.filter("not pending").select("row", "key", "text", "spans", F.lit(None).cast("binary").alias("more"))
+    both = ready.unionByName(pending.join(more, "key", "left").select("row", "key", "text", "spans", "more"))
+    if words is not None:
+        passages = keep(repeated_word_spans(docs, words), "passages", release=True).withColumnRenamed("marks", "passages")
+        both = both.join(passages, "key", "left")
+    both = both.drop("key")
     return both.mapInArrow(_remove, StructType(kind.fields + _parse(RESULT)))
 
 
@@ -259,9 +284,12 @@ def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD, texts: bool = True
     return out if texts else out.drop("kept")
 
 
-def without_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``docs`` with repeated strings cut out of the texts; null texts and all other columns stay."""
-    out = _deduped(docs, F.struct(*docs.columns, F.col("text").isNull().alias("_none")), threshold)
+def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, words: int | None = None) -> DataFrame:
+    """``docs`` with repeated strings cut out of the texts; null texts and all other columns stay.
+
+    With ``words``, repeated passages of that many words go too, however short, with the white space up to the next word.
+    """
+    out = _deduped(docs, F.struct(*docs.columns, F.col("text").isNull().alias("_none")), threshold, words)
     cut = F.when(~F.col("row._none"), F.col("kept"))
     return out.select(*((cut if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns))
 

@@ -57,3 +57,19 @@ def test_stages_equal_brute_force(spark, make_docs):
 def test_run_on_documents(spark, sf):
     rows = corpus_pipeline.run(spark, sf).collect()
     assert rows and {"doc_id", "piece", "start", "length", "sequence_id", "offset"} <= set(rows[0].asDict())
+
+
+def test_repeated_passages_of_over_fifty_words(spark, make_docs):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(1, 3)))
+    text = lambda n: " ".join(f"{word()}{i % 7}" for i in range(n))
+    tiny = " ".join(rng.choice("abcdefgh") for _ in range(51))
+    passage, short = text(51), text(50)
+    assert len(tiny) == 101 and len(passage) < 300
+    texts = [f"x{i}x\n{passage}\ny{i}y {text(30)}" for i in range(3)] + [f"u{i}u {short} v{i}v" for i in range(2)]
+    texts += [f"k{i}k {tiny} l{i}l" for i in range(2)] + [f"m{i}m {tiny}" for i in range(2)] + [None, ""]
+    docs = make_docs(texts)
+    cut = {r.doc_id: r.text for r in corpus_pipeline.suffix_array_dedup(spark, docs, "").collect()}
+    for i in range(3):
+        assert cut[i] == texts[i].replace(passage + "\n", "")
+    assert [cut[i] for i in range(3, 11)] == [texts[3], texts[4], "k0k l0l", "k1k l1l", "m0m ", "m1m ", None, ""]
