@@ -15,4 +15,4 @@ def test_query_matches_sql(spark, sf, name):
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op") and n[2].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
