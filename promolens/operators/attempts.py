@@ -159,20 +159,36 @@ def _rollup(rows: DataFrame, cfg: RunConfig) -> DataFrame:
     )
 
 
-def attempts(events: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Canonical attempts: one row per user, session, product and attempt number (19 columns)."""
-    numbered = _number(_rollup(_local_attempts(event_items(events, cfg)), cfg), "purchases")
-    merged = numbered.groupBy(*GROUP, "attempt_id").agg(
+def slice_partials(events: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Parts of attempts: one row per user, session, product, time slice and attempt number inside the slice. Users and
+    sessions that are missing carry stand-ins."""
+    return _rollup(_local_attempts(event_items(events, cfg)), cfg)
+
+
+def merge_partials(rows: DataFrame, *keys: str) -> DataFrame:
+    """Parts with equal keys as one; merging may go in steps, in any order."""
+    return rows.groupBy(*GROUP, *keys).agg(
         *[F.min(c).alias(c) for c in DIMENSIONS],
         F.min("purchase_dt_mx").alias("purchase_dt_mx"),
         F.max("last_dt_mx").alias("last_dt_mx"),
-        F.max(F.when(F.col("purchases") > 0, 1).otherwise(0)).cast("bigint").alias("HAS_PURCHASE_INT"),
+        F.sum("purchases").alias("purchases"),
         F.sum("cart").alias("cart"),
         F.sum("bought").alias("bought"),
         F.max("transaction_id").alias("transaction_id"),
         F.max("last_checkout").alias("last_checkout"),
     )
-    merged = _restore_keys(merged)
+
+
+def attempts(events: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Canonical attempts: one row per user, session, product and attempt number (19 columns). The parts of attempts are
+    written to the work folder while the frame is built, so building it runs a job."""
+    numbered = _number(slice_partials(events, cfg), "purchases")
+    return canonical(merge_partials(numbered, "attempt_id"))
+
+
+def canonical(merged: DataFrame) -> DataFrame:
+    """The attempt table of merged parts with their final ``attempt_id``."""
+    merged = _restore_keys(merged).withColumn("HAS_PURCHASE_INT", F.when(F.col("purchases") > 0, 1).otherwise(0).cast("bigint"))
     at = F.coalesce("purchase_dt_mx", "last_dt_mx")
     # The checkout quantity is matched by user and session, so rows without either keep 0.
     matched = F.col(USER).isNotNull() & F.col(SESSION).isNotNull()

@@ -70,9 +70,11 @@ def unified_events(
     return scan_events(daily, cfg).where(wanted).unionByName(late.select(*daily.columns))
 
 
-def narrow_events(events: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Flat event rows: parameters and nested fields that later steps use; everything else is pruned at the scan."""
+def narrow_events(events: DataFrame, cfg: RunConfig, *kept: str) -> DataFrame:
+    """Flat event rows: parameters and nested fields that later steps use, and the columns ``kept``; everything else is
+    pruned at the scan."""
     return events.select(
+        *kept,
         "user_pseudo_id",
         param_value(cfg.session_param, "int_value").alias("session_id"),
         "event_name",
