@@ -8,10 +8,13 @@ minimises
 
     mean log loss + FAIRNESS * mean (score change between a text and its counterfactual) ** 2 + RIDGE * |weights| ** 2
 
-over all labelled rows, the score change being taken in the log odds. So a term that is frequent in toxic texts only
+over the labelled rows, the score change being taken in the log odds. So a term that is frequent in toxic texts only
 because those speak of its group gains no weight, and neutral mentions score like any neutral text. Rows with equal
 features are one row with a number. Each step of the optimiser (L-BFGS) is one pass over these rows, summed by Spark; the
 driver holds a few vectors of at most ``FEATURES`` numbers.
+
+At most about ``ROWS`` labelled rows are learnt from, chosen by a hash of their id; fewer are all learnt from. Everything
+else, scoring above all, covers every row and the whole of its text.
 """
 
 from __future__ import annotations
@@ -37,7 +40,9 @@ IDENTITY = (
 #: Beginnings of words, in bytes.
 STEMS = tuple(range(3, 11))
 #: Features of the model at most; the least telling ones go first.
-FEATURES = 1 << 15
+FEATURES = 1 << 13
+#: Labelled rows to learn from, and tasks that a pass over them takes.
+ROWS, TASKS = 50_000, 8
 #: Least likelihood ratio, and least number of labelled texts, of a feature.
 TELLING, SUPPORT = 20.0, 4
 FAIRNESS, RIDGE = 1.0, 2e-5
@@ -108,7 +113,7 @@ def _places(values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(feature, toxic, clean): texts of each class with a feature, block by block."""
-    for part in blocks(batches, limit=8 << 20):
+    for part in blocks(batches):
         text, number, features, _ = _numbered(part)
         found = bags(text, number, features)
         toxic = part.column("y").to_numpy()[found.text]
@@ -160,7 +165,7 @@ def _design(chosen: np.ndarray, groups: tuple[tuple[str, ...], ...]):
     extra = b" " + " ".join(t for g in groups for t in g).encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches, limit=8 << 20):
+        for part in blocks(batches):
             text, number, features, terms = _numbered(part, extra)
             every = np.arange(len(part))
             plain = _packed(bags(text, number, features, chosen), every)
@@ -180,8 +185,9 @@ def _design(chosen: np.ndarray, groups: tuple[tuple[str, ...], ...]):
     return run
 
 
-def _gradient(weights: np.ndarray, size: int):
-    """Sums over the rows of the fit: log loss, squared changes, and their gradients (features, then the constant)."""
+def _gradient(weights: np.ndarray, size: int, penalty: float):
+    """Sums over the rows of the fit: log loss and ``penalty`` times squared changes, then the gradient (features,
+    constant)."""
 
     def side(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at, cuts = ragged_values(column, np.int32)
@@ -189,23 +195,19 @@ def _gradient(weights: np.ndarray, size: int):
         return at, np.repeat(np.arange(len(column)), np.diff(cuts)), total[cuts[1:]] - total[cuts[:-1]]
 
     def part(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        out = np.zeros(2 + 2 * (size + 1))
-        loss_slope, change_slope = out[2 : size + 3], out[size + 3 :]
+        value, slope = 0.0, np.zeros(size + 1)
         for batch in batches:
             y, n = batch.column(0).to_numpy(), batch.column(3).to_numpy().astype(float)
             at, row, before = side(batch.column(1))
             to, to_row, after = side(batch.column(2))
-            real = y >= 0
-            z = before + weights[size]
-            sign = np.where(y == 1, 1.0, -1.0)
-            out[0] += (n * np.logaddexp(0, -sign * z))[real].sum()
-            pull = np.where(real, -sign * n / (1 + np.exp(np.clip(sign * z, -500, 500))), 0.0)
-            loss_slope[:size] += np.bincount(at, pull[row], size)
-            loss_slope[size] += pull.sum()
-            change = np.where(real, 0.0, before - after)
-            out[1] += (n * change**2).sum()
-            change_slope[:size] += np.bincount(at, (2 * n * change)[row], size) - np.bincount(to, (2 * n * change)[to_row], size)
-        return out
+            real, sign = y >= 0, np.where(y == 1, 1.0, -1.0)
+            z = sign * (before + weights[size])
+            change = before - after
+            value += (n * np.where(real, np.logaddexp(0, -z), penalty * change**2)).sum()
+            pull = np.where(real, -sign / (1 + np.exp(np.clip(z, -500, 500))), 2 * penalty * change) * n
+            slope[:size] += np.bincount(at, pull[row], size) - np.bincount(to, pull[to_row], size)
+            slope[size] += pull[real].sum()
+        return np.r_[value, slope]
 
     return part
 
@@ -281,17 +283,17 @@ def train(
     best = told.filter(F.col("told") >= TELLING).orderBy(F.desc("told"), "feature").limit(features).select("feature").toArrow()
     chosen = np.sort(best.column("feature").to_numpy().astype(np.int64).view(U64))
     fit = rows.mapInArrow(_design(chosen, groups), "y int, before binary, after binary").groupBy("y", "before", "after").agg(F.count("*").alias("n"))
-    fit = keep(fit.select("y", "before", "after", "n"), "design")
+    fit = keep(fit.select("y", "before", "after", "n").repartition(TASKS), "design")
     size, total = len(chosen), toxic + clean
     swapped = fit.filter("y < 0").agg(F.sum("n")).first()[0] or 0
 
+    penalty = fairness * total / swapped if swapped else 0.0
+
     def value(x: np.ndarray) -> tuple[float, np.ndarray]:
-        found = summed(fit, 2 * size + 4, _gradient(x, size))
-        penalty = fairness / swapped if swapped else 0.0
-        f = found[0] / total + penalty * found[1] + ridge * (x[:size] @ x[:size])
-        g = found[2 : size + 3] / total + penalty * found[size + 3 :]
-        g[:size] += 2 * ridge * x[:size]
-        return f, g
+        found = summed(fit, size + 2, _gradient(x, size, penalty)) / total
+        slope = found[1:].copy()
+        slope[:size] += 2 * ridge * x[:size]
+        return found[0] + ridge * (x[:size] @ x[:size]), slope
 
     start = np.r_[np.zeros(size), np.log(toxic / clean)]
     x = minimise(value, start, steps)
@@ -307,7 +309,7 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
     safe = docs.withColumn("_text", F.coalesce("text", F.lit("")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches, column="_text", limit=4 << 20):
+        for part in blocks(batches, column="_text"):
             kept = part.batch.select([c for c in part.batch.schema.names if c != "_text"])
             yield pa.record_batch([*kept.columns, pa.array(model.scores(part))], names=[*kept.schema.names, "toxicity"])
 
@@ -320,14 +322,24 @@ def held_out(column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def chosen_labels(labels: DataFrame, rows: int = ROWS) -> DataFrame:
+    """(doc_id, y): at most about ``rows`` labels that may be learnt from, by the hash of their id."""
+    known = labels.filter("toxic in (0, 1)").filter(F.col("doc_id").isNotNull() & ~held_out())
+    known = keep(known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("y")), "known")
+    share = max(1.0, known.count() / rows)
+    return known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) / share))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataFrame:
     """Returns per row of ``docs`` (doc_id, text) doc_id, held_out, score, predicted, learnt from ``labels`` (doc_id, toxic).
 
     Labels of held-out ids are not read. Of several labels of one id the largest counts; null and other values than 0 and
-    1, and labels without id, do not. Rows with equal texts have equal scores. Neither ids nor other columns enter a score.
+    1, and labels without id, do not. About ``rows`` labels at most are learnt from. Rows with equal texts have equal
+    scores. Neither ids nor other columns enter a score.
     """
-    known = labels.filter("toxic in (0, 1)").filter(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("y"))
-    labelled = docs.filter(~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id").select("text", "y")
+    # The chosen labels are bounded by ``rows``, so they may go to every task; the texts need not move.
+    chosen = F.broadcast(chosen_labels(labels, rows))
+    labelled = docs.filter(~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id").select("text", "y")
     scored = toxicity_scores(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), train(labelled))
     score = F.col("toxicity").alias("score")
     return scored.select("doc_id", held_out().alias("held_out"), score, (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"))
