@@ -48,10 +48,12 @@ from promolens.llm.common import (
 from promolens.llm.substring_dedup import repeated_word_spans
 
 THRESHOLD = 400
+#: Repeated passages of over 50 words are measured, whatever their bytes.
+PASSAGE_WORDS = 51
 REACH = 64
 STEP = 2 << 20
 _FACTORS = np.random.Generator(np.random.PCG64(7)).integers(0, 2**62, 64, dtype=np.int64).astype(U64) * U64(2) + U64(1)
-RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, n_passage_bytes long"
 
 
 def _parse(ddl: str) -> list[StructField]:
@@ -205,46 +207,58 @@ def _bytes_of_words(part: Block) -> list[bytes]:
     return [out[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
 
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in blocks(batches, limit=STEP):
-        spans, more = part.column("spans").to_pylist(), part.column("more").to_pylist()
-        starts, ends, counts = [], [], []
-        if "passages" in part.batch.schema.names:
-            more = [(b or b"") + c for b, c in zip(more, _bytes_of_words(part))]
-        for i, (a, b) in enumerate(zip(spans, more)):
-            pairs = np.frombuffer((a or b"") + (b or b""), np.int32).reshape(-1, 2).astype(np.int64)
-            pairs = pairs[np.argsort(pairs[:, 0], kind="stable")] if b else pairs
-            pairs = merge_spans(pairs[:, 0], pairs[:, 1]) + part.cuts[i]
-            starts.append(pairs[:, 0])
-            ends.append(pairs[:, 1])
-            counts.append(len(pairs))
-        gone = cover(len(part.data), np.concatenate(starts), np.concatenate(ends))
-        data = part.data[~gone]
-        cuts = np.r_[0, np.cumsum(~gone)][part.cuts]
-        n_bytes, n_kept = np.diff(part.cuts), np.diff(cuts)
-        view = memoryview(data)
-        kept = [bytes(view[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-        yield pa.record_batch(
-            [
-                part.column("row"),
-                pa.array(n_bytes),
-                pa.array(n_bytes - n_kept),
-                pa.array(np.array(counts, np.int64)),
-                pa.array(sha_slices(data, cuts)),
-                pa.array([k.decode("utf-8", "ignore") for k in kept]),
-            ],
-            names=["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-        )
+def _remove(cut_passages: bool):
+    """Cut out spans, and with ``cut_passages`` passages as well; passages are measured either way."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in blocks(batches, limit=STEP):
+            spans, more = part.column("spans").to_pylist(), part.column("more").to_pylist()
+            passages: list[bytes] = [b""] * len(part)
+            if "passages" in part.batch.schema.names:
+                passages = _bytes_of_words(part)
+            passed = [np.frombuffer(p, np.int32).reshape(-1, 2) for p in passages]
+            if cut_passages:
+                more = [(b or b"") + p for b, p in zip(more, passages)]
+            starts, ends, counts = [], [], []
+            for i, (a, b) in enumerate(zip(spans, more)):
+                pairs = np.frombuffer((a or b"") + (b or b""), np.int32).reshape(-1, 2).astype(np.int64)
+                pairs = pairs[np.argsort(pairs[:, 0], kind="stable")] if b else pairs
+                pairs = merge_spans(pairs[:, 0], pairs[:, 1]) + part.cuts[i]
+                starts.append(pairs[:, 0])
+                ends.append(pairs[:, 1])
+                counts.append(len(pairs))
+            gone = cover(len(part.data), np.concatenate(starts), np.concatenate(ends))
+            data = part.data[~gone]
+            cuts = np.r_[0, np.cumsum(~gone)][part.cuts]
+            n_bytes, n_kept = np.diff(part.cuts), np.diff(cuts)
+            view = memoryview(data)
+            kept = [bytes(view[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            yield pa.record_batch(
+                [
+                    part.column("row"),
+                    pa.array(n_bytes),
+                    pa.array(n_bytes - n_kept),
+                    pa.array(np.array(counts, np.int64)),
+                    pa.array(sha_slices(data, cuts)),
+                    pa.array([k.decode("utf-8", "ignore") for k in kept]),
+                    pa.array(np.array([(p[:, 1] - p[:, 0]).sum() for p in passed], np.int64)),
+                ],
+                names=["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "n_passage_bytes"],
+            )
+
+    return run
 
 
-def _deduped(docs: DataFrame, row: Column, threshold: int, words: int | None = None) -> DataFrame:
+def _deduped(docs: DataFrame, row: Column, threshold: int, words: int | None = None, cut_passages: bool = True) -> DataFrame:
     """``row`` of every row of ``docs``, a struct, with the results for its text beside it.
 
-    With ``words``, repeated passages of that many words are removed besides.
+    With ``words``, repeated passages of that many words are measured, and with ``cut_passages`` removed besides.
     """
     if threshold < 80 + REACH:
         raise ValueError("threshold must be at least 144")
     bits = bucket_bits(total_bytes(docs) // 16)
+    if words is not None:  # first, so that its shuffle is gone before the next one
+        passages = keep(repeated_word_spans(docs, words), "passages", release=True).withColumnRenamed("marks", "passages")
     keyed = docs.select(row.alias("row"), F.coalesce("text", F.lit("")).alias("text"), text_key().alias("key"))
     told = _segment_marks(keyed.select("key", "text"), threshold, bits)
     kind = StructType([StructField("row", keyed.schema["row"].dataType)])
@@ -265,22 +279,23 @@ def _deduped(docs: DataFrame, row: Column, threshold: int, words: int | None = N
     ready = split.filter("not pending").select("row", "key", "text", "spans", F.lit(None).cast("binary").alias("more"))
     both = ready.unionByName(pending.join(more, "key", "left").select("row", "key", "text", "spans", "more"))
     if words is not None:
-        passages = keep(repeated_word_spans(docs, words), "passages", release=True).withColumnRenamed("marks", "passages")
         both = both.join(passages, "key", "left")
     both = both.drop("key")
-    return both.mapInArrow(_remove, StructType(kind.fields + _parse(RESULT)))
+    return both.mapInArrow(_remove(cut_passages), StructType(kind.fields + _parse(RESULT)))
 
 
-def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD, texts: bool = True) -> DataFrame:
+def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD, texts: bool = True, words: int | None = None) -> DataFrame:
     """Remove every byte that a repeated string of ``threshold`` bytes covers (strings within one text).
 
     Returns per input row doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the kept bytes) and, with ``texts``, the
     kept text; where a cut leaves part of a character, that part is left out of the kept text. A null text counts as
     empty; rows with equal texts are equal in all but doc_id; a null doc_id stays null. Other columns are not read.
-    ``threshold`` must be at least 144.
+    ``threshold`` must be at least 144. With ``words``, n_passage_bytes tells how many bytes lie in passages of that many
+    words that stand elsewhere too, whatever their length in bytes; they are not removed for that.
     """
-    out = _deduped(docs, F.struct(F.col("doc_id").cast("long").alias("doc_id")), threshold)
-    out = out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    out = _deduped(docs, F.struct(F.col("doc_id").cast("long").alias("doc_id")), threshold, words, cut_passages=False)
+    measured = ["n_passage_bytes"] if words is not None else []
+    out = out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *measured, "kept")
     return out if texts else out.drop("kept")
 
 
@@ -295,4 +310,4 @@ def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, words: int | No
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), texts=False)
+    return suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), texts=False, words=PASSAGE_WORDS)

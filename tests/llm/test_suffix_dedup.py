@@ -45,3 +45,15 @@ def test_other_columns_stay(make_docs):
     assert sorted(str((r.doc_id, r.text, r.n_chars, r.key)) for r in out.collect()) == sorted(
         map(str, [(4, "é tail", 506, "x"), (7, None, 0, "x"), (7, "head ", 505, "x"), (None, "", 0, "x")])
     )
+
+
+def test_short_passages_of_many_words_are_measured_not_cut(make_docs):
+    passage = " ".join(f"w{i}" for i in range(51))
+    assert len(passage) < 400
+    texts = [f"one two {passage} three", f"{passage}\nfour", "five " + passage[:-4], None, "", passage.replace(" ", "  ")]
+    rows = {r.doc_id: r for r in suffix_dedup(make_docs(texts), words=51).collect()}
+    assert [rows[i].n_passage_bytes for i in range(6)] == [len(passage) + 1, len(passage) + 1, 0, 0, 0, len(passage) + 50]
+    assert all(r.n_removed == 0 and r.n_spans == 0 for r in rows.values())
+    assert [r.kept for r in rows.values() if r.doc_id == 0] == [texts[0]]
+    both = {r.doc_id: r for r in suffix_dedup(make_docs(["ab" * 250 + " " + passage, passage]), words=51).collect()}
+    assert [(both[i].n_removed, both[i].n_passage_bytes) for i in (0, 1)] == [(500, len(passage)), (0, len(passage))]
