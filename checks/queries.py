@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
@@ -23,11 +24,15 @@ from promolens.operators import funnel as fun
 from promolens.operators import kpis, quality
 from promolens.operators import patterns as pat
 from promolens.operators import sessions as ses
+from promolens.plans.bucketed import funnel_from_buckets, write_funnel_buckets
+from promolens.plans.incremental import AttemptStore, follow
 from promolens.plans.pipeline import combos_of, prepare_catalog
 from promolens.session import stage, work_dir
 from promolens.sinks.tables import LAYOUT, delete_tables, export_csv, load_from_csv, write_clustered
+from promolens.sinks.versions import Files, VersionedTable
 from promolens.sources import events as src
 from promolens.sources.dates import standardize_dates
+from promolens.sources.fingerprints import ShardLedger
 from promolens.sources.tables import read_result
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,6 +195,16 @@ def event_days(c: Chain) -> DataFrame:
     return src.event_days(c.fx.daily, CFG)
 
 
+@query
+def event_days_catalog(c: Chain) -> DataFrame:
+    """Days from the partitions of a catalogued event table; none of its files is read."""
+    name = f"promolens_{uuid.uuid4().hex}"
+    c.fx.daily.write.partitionBy("ds").saveAsTable(name)
+    out = stage(src.event_days_from_catalog(c.spark, name, CFG), "days")
+    delete_tables(c.spark, name)
+    return out
+
+
 @query
 def unified_events(c: Chain) -> DataFrame:
     return c.unified.select(
@@ -265,17 +280,80 @@ def rerun_replaces(c: Chain) -> DataFrame:
     return _flat(read_result(c.spark, path, schemas.ATTEMPTS_DDL))
 
 
+def _add_shards(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Put shards below ``path``; ``overwrite`` replaces those that occur in ``df`` and leaves the others."""
+    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(path)
+
+
+@query
+def incremental_attempts(c: Chain) -> DataFrame:
+    """Shards that come in three deliveries, each between the days of the earlier ones, followed by the attempt table."""
+    root = work_dir(c.spark)
+    daily, intraday = f"{root}/daily", f"{root}/intraday"
+    store, ledger = AttemptStore(c.spark, f"{root}/store", CFG), ShardLedger(c.spark, f"{root}/ledger", CFG)
+    for rest in (0, 2, 1):
+        part = F.col("ds").cast("int") % 3 == rest
+        _add_shards(c.fx.daily.where(part), daily)
+        _add_shards(c.fx.intraday.where(part), intraday)
+        follow(store, ledger, daily, intraday, schemas.EVENT_DDL)
+    return _flat(store.read())
+
+
+@query
+def versioned_replace(c: Chain) -> DataFrame:
+    """A table, then a version with two dates replaced; both versions are read after the second commit."""
+    table = VersionedTable(c.spark, f"{work_dir(c.spark)}/attempts")
+    every = stage(schemas.conform(c.attempts, schemas.ATTEMPTS_DDL), "every").where("attempt_date <= date'2024-01-10'")
+    table.replace(every.where("attempt_date <= date'2024-01-03'"), *LAYOUT["attempts"])
+    table.replace(every, *LAYOUT["attempts"])
+    dates = ["2024-01-05", "2024-01-06"]
+    bought = every.where(F.col("attempt_date").cast("string").isin(dates) & (F.col("STATUS") == "PURCHASED"))
+    table.replace_partitions(bought, "attempt_date", dates, LAYOUT["attempts"][1])
+    table.expire(keep=2)
+    both = [table.read(v).withColumn("version", F.lit(v).cast("bigint")) for v in table.versions()]
+    return _flat(both[0].unionByName(both[1]))
+
+
+@query
+def shard_changes(c: Chain) -> DataFrame:
+    """Days that changed between two states of the shard folders: one loses its purchases, one goes, one is written again
+    as it was, two pass from intraday to daily (one with other rows), one comes."""
+    root, day, bought = work_dir(c.spark), F.substring("ds", 7, 2).cast("int"), F.col("event_name") == "purchase"
+    daily, intraday, ledger = f"{root}/daily", f"{root}/intraday", ShardLedger(c.spark, f"{root}/ledger", CFG)
+    _add_shards(c.fx.daily.where(day <= 23), daily)
+    _add_shards(c.fx.intraday.where(day != 27), intraday)
+    ledger.changes(daily, intraday, schemas.EVENT_DDL)
+    ledger.commit()
+    again = c.fx.daily.where(day.isin(9, 25) | (day.isin(5, 24) & ~bought))
+    _add_shards(again, daily, "overwrite")
+    _add_shards(c.fx.intraday.where(day == 27), intraday)
+    for ds in [r["ds"] for r in c.fx.daily.where(day == 7).select("ds").distinct().collect()]:
+        Files(c.spark, daily).remove(f"{daily}/ds={ds}")
+    return ledger.changes(daily, intraday, schemas.EVENT_DDL)
+
+
+@query
+def funnel_bucketed(c: Chain) -> DataFrame:
+    """The wide table from stored buckets; sessions of more than four rows count as hot, so both ways have rows."""
+    prefix = f"promolens_{uuid.uuid4().hex}"
+    names = write_funnel_buckets(c.pattern_table, c.sessions, CFG, prefix, buckets=16, hot_rows=4)
+    out = stage(funnel_from_buckets(c.spark, names, CFG), "funnel")
+    names.drop(c.spark)
+    return _flat(out)
+
+
 @query
 def delete_tables_(c: Chain) -> DataFrame:
-    """Tables made from the regions, some dropped: those that are left."""
-    names = [f"promolens_drop_{i}" for i in range(4)]
-    for name in names:
-        c.fx.table("region").write.mode("overwrite").saveAsTable(name)
-    delete_tables(c.spark, [*names[1:], "promolens_never_made"])
-    left = c.spark.sql("SHOW TABLES LIKE 'promolens_drop_*'").select("tableName")
-    rows = c.spark.table(names[0]).select(F.lit(names[0]).alias("tableName"), "r_name").join(left, "tableName")
-    out = stage(rows, "left")
-    delete_tables(c.spark, names[0])
+    """Orders dealt into four tables by status and key, some tables dropped: the rows of those that are left."""
+    prefix = f"promolens_drop_{uuid.uuid4().hex}"
+    names = [f"{prefix}_{i}" for i in range(4)]
+    for i, name in enumerate(names):
+        c.fx.table("orders").where(F.col("o_orderkey") % 4 == i).write.saveAsTable(name)
+    delete_tables(c.spark, [names[1], names[3], f"{prefix}_never_made"])
+    left = [r["tableName"] for r in c.spark.sql(f"SHOW TABLES LIKE '{prefix}_*'").collect()]
+    parts = [c.spark.table(t).select(F.lit(int(t[-1])).cast("bigint").alias("part"), "o_orderkey", "o_orderstatus") for t in sorted(left)]
+    out = stage(parts[0].unionByName(parts[1]), "left")
+    delete_tables(c.spark, left)
     return out
 
 

@@ -124,16 +124,27 @@ def bucket_of_session() -> Column:
     ).alias("login_bucket_bc")
 
 
+def session_context(sessions: DataFrame, cfg: RunConfig) -> DataFrame:
+    """What the wide table takes from a session, under join keys without nulls."""
+    return (
+        sessions.where(_between("session_date", cfg) & F.col("user_pseudo_id").isNotNull() & F.col("session_id").isNotNull())
+        .select(F.col("user_pseudo_id").alias("_user"), F.col("session_id").alias("_session"), *_SESSION_COLUMNS)
+    )
+
+
 def funnel(patterns: DataFrame, sessions: DataFrame, cfg: RunConfig) -> DataFrame:
     """Attempts with density, products in session, session context, readiness and login bucket."""
     rows = _join_keys(traffic_density(funnel_rows(patterns, cfg), cfg))
     # Counted from the rows themselves, before any lookup, so that the count reads two columns of the table.
     counts = _products_in_session(_join_keys(funnel_rows(patterns, cfg)))
-    context = (
-        sessions.where(_between("session_date", cfg) & F.col("user_pseudo_id").isNotNull() & F.col("session_id").isNotNull())
-        .select(F.col("user_pseudo_id").alias("_user"), F.col("session_id").alias("_session"), *_SESSION_COLUMNS)
-    )
-    wide = rows.join(counts, ["_user", "_session"], "left").join(context, ["_user", "_session"], "left")
+    return _wide(rows, counts, session_context(sessions, cfg))
+
+
+def _wide(rows: DataFrame, counts: DataFrame, context: DataFrame) -> DataFrame:
+    return _derived(rows.join(counts, ["_user", "_session"], "left").join(context, ["_user", "_session"], "left"))
+
+
+def _derived(wide: DataFrame) -> DataFrame:
     return wide.drop("_user", "_session").select(
         "*",
         F.try_divide(F.col("MONTO_PURCHASE"), F.nullif(F.col("qty_purchase"), F.lit(0))).alias(

@@ -24,7 +24,9 @@ from promolens.operators.incremental import attempts_of_states, changed_groups,
 from promolens.schemas import ATTEMPTS_DDL, conform
 from promolens.session import stage
 from promolens.sinks.tables import LAYOUT
-from promolens.sinks.versions import NULL_PARTITION, VersionedTable
+from promolens.sinks.versions import NULL_PARTITION, Files, VersionedTable
+from promolens.sources.events import narrow_events, read_shards, unified_events
+from promolens.sources.fingerprints import ShardLedger
 
 
 @dataclass(frozen=True)
@@ -97,3 +99,21 @@ class AttemptStore:
         """All states of the groups. Their days are found from the key columns alone; other days are not read further."""
         days = of_groups(self.state.read(version).select(*GROUP, "day"), groups).select("day").distinct().collect()
         return of_groups(self.state.read(version, [str(r["day"]) for r in days]), groups)
+
+
+def follow(store: AttemptStore, ledger: ShardLedger, daily_path: str, intraday_path: str, ddl: str | None = None) -> Update:
+    """Bring the attempts up to date with two folders of shards: the ledger tells the days, the store works on them. The
+    ledger is committed last, so a run that stops is repeated for the same days."""
+    changed = [r["ds"] for r in ledger.changes(daily_path, intraday_path, ddl).collect()]
+    daily, intraday = (_shards(store.spark, p, ddl) for p in (daily_path, intraday_path))
+    events = narrow_events(unified_events(daily, intraday, store.cfg), store.cfg, "ds")
+    done = store.update(events, changed)
+    ledger.commit()
+    return done
+
+
+def _shards(spark: SparkSession, path: str, ddl: str | None) -> DataFrame:
+    """The shards of a folder, which may have none yet."""
+    if ddl is not None and not any(n.startswith("ds=") for n in Files(spark, path).names(path)):
+        return spark.createDataFrame([], ddl)
+    return read_shards(spark, path, ddl)

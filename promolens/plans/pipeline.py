@@ -14,7 +14,7 @@ from promolens.operators.funnel import funnel, price_inference
 from promolens.operators.patterns import enrich_attempts, patterns
 from promolens.operators.sessions import sessions
 from promolens.schemas import ATTEMPTS_DDL, FUNNEL_DDL, PATTERNS_DDL, SESSIONS_DDL, conform
-from promolens.session import apply_recommended
+from promolens.session import apply_recommended, stage
 from promolens.sinks.tables import LAYOUT, export_csv, load_table, write_clustered
 from promolens.sources.events import narrow_events, unified_events
 from promolens.sources.tables import CatalogTables, read_result
@@ -104,8 +104,7 @@ def run_full(
 ) -> Report:
     """Events and catalogue to the four result tables below ``out``, then the reports.
 
-    Each stage is a written table: it is the deliverable, it cuts the lineage for the next stage, and a rerun after
-    a failure can start from the last finished one. A run replaces what an earlier run left below ``out``.
+    Each stage is a written table: it is the deliverable and it cuts the lineage for the next stage. A run replaces what an earlier run left below ``out``.
     """
     apply_recommended(spark)
     out = out.rstrip("/")
@@ -132,7 +131,8 @@ def run_short(
 ) -> Report:
     """Re-analysis: price an existing funnel table again, export it if asked, and report."""
     apply_recommended(spark)
-    priced = price_inference(funnel_table, products, cfg)
+    # Read by the export and by every report, so it is written once.
+    priced = stage(price_inference(funnel_table, products, cfg), "priced")
     if csv_path is not None:
         export_csv(priced, csv_path)
     return analyze(priced, combo_ids(combo_requirements_all(combos)))
