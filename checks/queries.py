@@ -21,13 +21,15 @@ from promolens.functions.times import local_wall, parse_time_text, time_text, ut
 from promolens.operators import attempts as att
 from promolens.operators import catalog as cat
 from promolens.operators import funnel as fun
-from promolens.operators import kpis, quality
+from promolens.operators import division, kpis, quality
 from promolens.operators import patterns as pat
+from promolens.operators import force_index as force
 from promolens.operators import sessions as ses
 from promolens.plans.bucketed import funnel_from_buckets, write_funnel_buckets
 from promolens.plans.incremental import AttemptStore, follow
-from promolens.plans.pipeline import combos_of, prepare_catalog
+from promolens.plans.pipeline import combos_of, prepare_catalog, write_funnel_checked
 from promolens.session import stage, work_dir
+from promolens.sinks.checked import read_every, read_quarantine
 from promolens.sinks.tables import LAYOUT, delete_tables, export_csv, load_from_csv, write_clustered
 from promolens.sinks.versions import Files, VersionedTable
 from promolens.sources import events as src
@@ -619,6 +621,33 @@ def patterns_joined(c: Chain) -> DataFrame:
     return _flat(schemas.conform(pat.patterns(c.detection_input, c.large_catalog), schemas.PATTERNS_DDL))
 
 
+@query
+def patterns_by_day(c: Chain) -> DataFrame:
+    return _flat(schemas.conform(force.patterns_by_day(c.detection_input, c.catalog), schemas.PATTERNS_DDL))
+
+
+@query
+def patterns_by_day_joined(c: Chain) -> DataFrame:
+    return _flat(schemas.conform(force.patterns_by_day(c.detection_input, c.large_catalog), schemas.PATTERNS_DDL))
+
+
+@query
+def rules_tested(c: Chain) -> DataFrame:
+    return force.rules_tested(c.detection_input, c.catalog)
+
+
+@query
+def combo_session_bits(c: Chain) -> DataFrame:
+    """Session totals of three deliveries, out of order; one of them comes twice, first without its purchases."""
+    store = division.DivisionStore(c.spark, f"{work_dir(c.spark)}/division")
+    rows = c.detection_input
+    part = F.substring("DATETIME", 1, 2).cast("int") % 3
+    for number in (2, 0, 1):
+        store.put(f"part{number}", rows.where((part == number) & ((F.col("STATUS") != "PURCHASED") | F.lit(number != 2))))
+    store.put("part2", rows.where(part == 2))
+    return store.complete(c.catalog)
+
+
 @query
 def pattern_flags(c: Chain) -> DataFrame:
     return c.patterns.select(*_ROW, *_PATRON, "TIENE_PATRON_COMPLETO", "TIENE_PATRON_INCOMPLETO")
@@ -727,6 +756,35 @@ def integrity_checks(c: Chain) -> DataFrame:
     return _flat(quality.integrity_checks(c.priced))
 
 
+def _written_funnel(c: Chain) -> tuple[str, dict]:
+    path = f"{work_dir(c.spark)}/funnel"
+    return path, write_funnel_checked(c.priced, path)
+
+
+@query
+def observed_checks(c: Chain) -> DataFrame:
+    """Integrity counts and pattern summary as the write of the wide table measured them."""
+    _, seen = _written_funnel(c)
+    ddl = ", ".join(f"{n} {'double' if n.endswith('_total') else 'bigint'}" for n in sorted(seen))
+    return _flat(c.spark.createDataFrame([tuple(seen[n] for n in sorted(seen))], ddl))
+
+
+@query
+def quarantine(c: Chain) -> DataFrame:
+    """Rows of the quarantine folder, counted by attempt and broken check."""
+    path, _ = _written_funnel(c)
+    bad = read_quarantine(c.spark, path, c.priced)
+    told = bad.select(*_FUNNEL_ROW, F.explode("violations").alias("violation"))
+    return told.groupBy(*told.columns).agg(F.count("*").alias("filas"))
+
+
+@query
+def checked_funnel(c: Chain) -> DataFrame:
+    """All rows of the checked table: those in quarantine too."""
+    path, _ = _written_funnel(c)
+    return _flat(read_every(c.spark, path, c.priced))
+
+
 @query
 def validity_checks(c: Chain) -> DataFrame:
     return quality.validity_checks(stage(c.priced, "priced"), c.catalog.validity)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from promolens.functions.rules import quantity_text
 from promolens.functions.text import catalog_name
 from promolens.functions.times import utc_wall_column
-from promolens.operators.lookup import fits
+from promolens.operators.lookup import fits, widest
 from promolens.session import stage
 
 
@@ -200,6 +200,7 @@ class Catalog:
     source_validity: DataFrame
     combos: DataFrame
     max_rows: int
+    max_per_product: int = 1_000
 
     @cached_property
     def validity(self) -> DataFrame:
@@ -230,7 +231,9 @@ class Catalog:
 
     @cached_property
     def rules_bounded(self) -> bool:
-        return fits(self.conditions, self.max_rows) and self.requirements_bounded
+        """Rules may travel to the rows: few in all, and few for each product, as a row tests all of its product."""
+        few = fits(self.conditions, self.max_rows) and self.requirements_bounded
+        return few and widest(self.conditions, self.requirements_all) <= self.max_per_product
 
     @cached_property
     def requirements_bounded(self) -> bool:

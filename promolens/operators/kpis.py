@@ -136,16 +136,21 @@ def promo_incidence(session_flags: DataFrame) -> DataFrame:
     )
 
 
+def pattern_counts() -> dict[str, Column]:
+    """Rows, rows with a complete / incomplete pattern, complete rows per stage, as aggregates."""
+    told = {
+        "filas_completo": "TIENE_PATRON_COMPLETO",
+        "filas_incompleto": "TIENE_PATRON_INCOMPLETO",
+        "add_to_cart_completo": "PATRON_ADD_CART",
+        "begin_checkout_completo": "PATRON_BEGIN_CHECKOUT",
+        "purchase_completo": "PATRON_PURCHASE",
+    }
+    return {"total_filas": F.count("*"), **{name: F.count_if(F.col(flag) == "SI") for name, flag in told.items()}}
+
+
 def pattern_summary(patterns: DataFrame) -> DataFrame:
-    """Rows, rows with a complete / incomplete pattern, complete rows per stage."""
-    return patterns.agg(
-        F.count("*").alias("total_filas"),
-        F.count_if(F.col("TIENE_PATRON_COMPLETO") == "SI").alias("filas_completo"),
-        F.count_if(F.col("TIENE_PATRON_INCOMPLETO") == "SI").alias("filas_incompleto"),
-        F.count_if(F.col("PATRON_ADD_CART") == "SI").alias("add_to_cart_completo"),
-        F.count_if(F.col("PATRON_BEGIN_CHECKOUT") == "SI").alias("begin_checkout_completo"),
-        F.count_if(F.col("PATRON_PURCHASE") == "SI").alias("purchase_completo"),
-    )
+    """One row of ``pattern_counts``."""
+    return patterns.agg(*[c.alias(name) for name, c in pattern_counts().items()])
 
 
 def condition_coverage(conditions: DataFrame) -> DataFrame:

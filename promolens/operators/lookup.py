@@ -25,3 +25,9 @@ def lookup_join(
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def widest(*sides: DataFrame, key: str = "clave_edicion_producto") -> int:
+    """The most rows that one key has in any of the frames; rows without key do not count."""
+    most = [s.where(F.col(key).isNotNull()).groupBy(key).count().agg(F.max("count")).first()[0] for s in sides]
+    return max(m or 0 for m in most)

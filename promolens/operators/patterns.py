@@ -146,7 +146,7 @@ def combined_rules(catalog: Catalog) -> DataFrame:
 
 def product_rules(catalog: Catalog) -> DataFrame:
     """Per product: its simple conditions and its combined requirements, as two arrays. Only for a catalogue that
-    passed the size check, which also bounds the arrays."""
+    passed the size checks, of the whole and of its widest product."""
     def packed(rules: DataFrame, name: str) -> DataFrame:
         fields = [c for c in rules.columns if c != "clave_edicion_producto"]
         return rules.groupBy("clave_edicion_producto").agg(F.collect_list(F.struct(*fields)).alias(name))
@@ -165,31 +165,36 @@ def _id_set(*arrays: Column) -> Column:
 
 
 # Tests of one rule ``c`` (a struct or a mapping of columns) against a quantity and the time of the row.
-def _in_force(c) -> Column:
+def in_force(c) -> Column:
     return (c["start"] <= F.col("_at")) & (F.col("_at") <= c["end"])
 
 
-def _met(c, qty: Column) -> Column:
+def met(c, qty: Column) -> Column:
     return meets(qty, c["lo"], c["hi"], c["step"])
 
 
-def _near(c, qty: Column) -> Column:
-    return one_short(qty, c["short"]) & _in_force(c) & ~_met(c, qty)
+def near(c, qty: Column) -> Column:
+    return one_short(qty, c["short"]) & in_force(c) & ~met(c, qty)
 
 
-def _owned(c, qty: Column) -> Column:
-    return (F.coalesce(qty, F.lit(0)) >= c["need"]) & _in_force(c)
+def owned(c, qty: Column) -> Column:
+    return (F.coalesce(qty, F.lit(0)) >= c["need"]) & in_force(c)
 
 
-def _with_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
-    """Per stage, the conditions met, those of them in force, the near misses in force and the owned combined
-    promotions of every row. Rows without user, session, product or readable time match nothing."""
+def timed_rows(rows: DataFrame) -> DataFrame:
+    """Rows with the time at which their rules are tested; NULL for a row that no rule applies to."""
     usable = (
         F.col("USER").isNotNull()
         & F.col("SESION").isNotNull()
         & F.col("clave_edicion_producto").isNotNull()
     )
-    timed = rows.withColumn(AT, F.when(usable, attempt_time(rows)))
+    return rows.withColumn(AT, F.when(usable, attempt_time(rows)))
+
+
+def _with_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
+    """Per stage, the conditions met, those of them in force, the near misses in force and the owned combined
+    promotions of every row. Rows without user, session, product or readable time match nothing."""
+    timed = timed_rows(rows)
     return _with_packed_rules(timed, catalog) if catalog.rules_bounded else _with_joined_rules(timed, catalog)
 
 
@@ -202,10 +207,10 @@ def _with_packed_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
     out, live = {}, {}
     for name, _, stage, _ in STAGES:
         qty = F.col(name)
-        out[f"_met_{stage}"] = F.when(qty != 0, F.filter("_simple", lambda c: _met(c, qty)))
-        out[f"_near_{stage}"] = F.when(qty > 0, _ids(F.filter("_simple", lambda c: _near(c, qty))))
-        out[f"_own_{stage}"] = _ids(F.filter("_combined", lambda c: _owned(c, qty)))
-        live[f"_live_{stage}"] = F.filter(f"_met_{stage}", _in_force)
+        out[f"_met_{stage}"] = F.when(qty != 0, F.filter("_simple", lambda c: met(c, qty)))
+        out[f"_near_{stage}"] = F.when(qty > 0, _ids(F.filter("_simple", lambda c: near(c, qty))))
+        out[f"_own_{stage}"] = _ids(F.filter("_combined", lambda c: owned(c, qty)))
+        live[f"_live_{stage}"] = F.filter(f"_met_{stage}", in_force)
     return joined.withColumns(out).withColumns(live).drop("_simple", "_combined")
 
 
@@ -221,12 +226,12 @@ def _with_joined_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
         hits = {}
         for name, _, stage, _ in STAGES:
             qty = F.col(name)
-            met = F.lit(False) if combined else _met(c, qty)
-            near = F.lit(False) if combined else _near(c, qty)
-            hits[f"_met_{stage}"] = F.when(met, entry)
-            hits[f"_live_{stage}"] = F.when(met & _in_force(c), entry)
-            hits[f"_near_{stage}"] = F.when(near, F.col("promo"))
-            hits[f"_own_{stage}"] = F.when(_owned(c, qty) if combined else F.lit(False), F.col("promo"))
+            hit = F.lit(False) if combined else met(c, qty)
+            close = F.lit(False) if combined else near(c, qty)
+            hits[f"_met_{stage}"] = F.when(hit, entry)
+            hits[f"_live_{stage}"] = F.when(hit & in_force(c), entry)
+            hits[f"_near_{stage}"] = F.when(close, F.col("promo"))
+            hits[f"_own_{stage}"] = F.when(owned(c, qty) if combined else F.lit(False), F.col("promo"))
         found = lookup_join(narrow, rules, ["clave_edicion_producto"], "inner", False, _ROW)
         parts.append(found.select(*keys, *[v.alias(k) for k, v in hits.items()]))
     names = [c for c in parts[0].columns if c not in keys]
@@ -245,10 +250,10 @@ def simple_promos(rows: DataFrame, catalog: Catalog) -> DataFrame:
     ruled = _with_rules(rows, catalog)
     out = {}
     for _, _, stage, _ in STAGES:
-        met, live, near = F.col(f"_met_{stage}"), F.col(f"_live_{stage}"), F.col(f"_near_{stage}")
+        every, live, close = F.col(f"_met_{stage}"), F.col(f"_live_{stage}"), F.col(f"_near_{stage}")
         out[f"PROMOS_{stage}_COMPLETAS"] = _id_set(_ids(live))
-        out[f"PROMOS_{stage}_INCOMPLETAS"] = _id_set(near)
-        out[f"PROMOS_{stage}_TODAS"] = _id_set(_ids(met), near)
+        out[f"PROMOS_{stage}_INCOMPLETAS"] = _id_set(close)
+        out[f"PROMOS_{stage}_TODAS"] = _id_set(_ids(every), close)
         out[f"DESC_{stage}_COMPLETAS"] = _texts(live)
     return _finish(ruled.withColumns(out))
 
@@ -257,7 +262,7 @@ def _finish(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
-def _with_sessions(rows: DataFrame, complete: DataFrame) -> DataFrame:
+def with_sessions(rows: DataFrame, complete: DataFrame) -> DataFrame:
     """Add, per stage, the combined promotions that the row's session completes. Joined before the rules, so that the
     shuffle on (user, session) moves plain rows and not their rule arrays."""
     closed = complete.groupBy("USER", "SESION").agg(
@@ -278,7 +283,7 @@ def _combined_sets(stage: str) -> tuple[Column, Column]:
 
 def combo_promos(rows: DataFrame, catalog: Catalog) -> DataFrame:
     """Combined promotions only. A row counts when its own quantity reaches its product's requirement."""
-    ruled = _with_rules(_with_sessions(rows, combo_session_complete(rows, catalog)), catalog)
+    ruled = _with_rules(with_sessions(rows, combo_session_complete(rows, catalog)), catalog)
     out = {}
     for _, _, stage, _ in STAGES:
         complete, incomplete = _combined_sets(stage)
@@ -290,14 +295,18 @@ def combo_promos(rows: DataFrame, catalog: Catalog) -> DataFrame:
 
 def patterns(rows: DataFrame, catalog: Catalog) -> DataFrame:
     """Pattern table: simple and combined promotions per row and stage, plus the summary flags."""
-    ruled = _with_rules(_with_sessions(rows, combo_session_complete(rows, catalog)), catalog)
+    return pattern_table(_with_rules(with_sessions(rows, combo_session_complete(rows, catalog)), catalog))
+
+
+def pattern_table(ruled: DataFrame) -> DataFrame:
+    """The pattern table of rows that carry their rule hits and the promotions that their session completes."""
     sets = {}
     for _, _, stage, _ in STAGES:
         complete, incomplete = _combined_sets(stage)
-        met, live, near = F.col(f"_met_{stage}"), F.col(f"_live_{stage}"), F.col(f"_near_{stage}")
+        every, live, close = F.col(f"_met_{stage}"), F.col(f"_live_{stage}"), F.col(f"_near_{stage}")
         sets[f"PROMOS_{stage}_COMPLETAS"] = _id_set(_ids(live), complete)
-        sets[f"PROMOS_{stage}_INCOMPLETAS"] = _id_set(near, incomplete)
-        sets[f"PROMOS_{stage}_TODAS"] = _id_set(_ids(met), near, F.col(f"_own_{stage}"))
+        sets[f"PROMOS_{stage}_INCOMPLETAS"] = _id_set(close, incomplete)
+        sets[f"PROMOS_{stage}_TODAS"] = _id_set(_ids(every), close, F.col(f"_own_{stage}"))
         sets[f"DESC_{stage}_COMPLETAS"] = _texts(live)
     flags = {
         f"PATRON_{flag}": F.when(F.size(f"PROMOS_{stage}_COMPLETAS") > 0, "SI").otherwise("NO")

@@ -65,34 +65,38 @@ def lost_opportunity(funnel: DataFrame) -> DataFrame:
     )
 
 
+def row_checks() -> dict[str, Column]:
+    """What a row of the wide table must not be, by the name of the check."""
+    price, bought = F.col("precio_unitario_inferido"), F.col("qty_purchase")
+    return {
+        "cart_below_checkout": F.col("qty_add_to_cart") < F.col("qty_begin_checkout"),
+        "checkout_below_purchase": F.col("qty_begin_checkout") < bought,
+        "price_not_positive": price <= 0,
+        "price_missing": price.isNull(),
+        "purchase_without_transaction": (F.col("STATUS") == "PURCHASED") & F.col("TRANSACTION_ID").isNull(),
+        "amount_mismatch": F.abs(F.col("MONTO_PURCHASE") - bought * price) > 0.005,
+        "rows_without_session": F.coalesce("event_count", F.lit(0)) < 1,
+    }
+
+
+def control_totals() -> dict[str, Column]:
+    """Totals that are kept beside the checks."""
+    return {
+        "total_filas": F.count("*"),
+        "qty_purchase_total": F.sum("qty_purchase"),
+        "monto_purchase_total": F.sum("MONTO_PURCHASE"),
+    }
+
+
+#: Columns that name one attempt of the wide table.
+ATTEMPT_KEY = (*KEY, "ITEM", "intento")
+
+
 def integrity_checks(funnel: DataFrame) -> DataFrame:
     """Violation counts and control totals of the wide table, in one pass plus a duplicate-key count."""
-    price, bought = F.col("precio_unitario_inferido"), F.col("qty_purchase")
-    keyed = funnel.groupBy(*KEY, "ITEM", "intento").agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("qty_add_to_cart") < F.col("qty_begin_checkout")).alias("a"),
-        F.count_if(F.col("qty_begin_checkout") < bought).alias("b"),
-        F.count_if(price <= 0).alias("c"),
-        F.count_if(price.isNull()).alias("d"),
-        F.count_if((F.col("STATUS") == "PURCHASED") & F.col("TRANSACTION_ID").isNull()).alias("e"),
-        F.count_if(F.abs(F.col("MONTO_PURCHASE") - bought * price) > 0.005).alias("f"),
-        F.count_if(F.coalesce("event_count", F.lit(0)) < 1).alias("g"),
-        F.sum("qty_purchase").alias("q"),
-        F.sum("MONTO_PURCHASE").alias("m"),
-    )
-    return keyed.agg(
-        F.sum("n").alias("total_filas"),
-        F.sum("a").alias("cart_below_checkout"),
-        F.sum("b").alias("checkout_below_purchase"),
-        F.sum("c").alias("price_not_positive"),
-        F.sum("d").alias("price_missing"),
-        F.count_if(F.col("n") > 1).alias("duplicate_attempts"),
-        F.sum("e").alias("purchase_without_transaction"),
-        F.sum("f").alias("amount_mismatch"),
-        F.sum("g").alias("rows_without_session"),
-        F.sum("q").alias("qty_purchase_total"),
-        F.sum("m").alias("monto_purchase_total"),
-    )
+    counts = {**control_totals(), **{name: F.count_if(test) for name, test in row_checks().items()}}
+    keyed = funnel.groupBy(*ATTEMPT_KEY).agg(*[c.alias(name) for name, c in counts.items()])
+    return keyed.agg(*[F.sum(name).alias(name) for name in counts], F.count_if(F.col("total_filas") > 1).alias("duplicate_attempts"))
 
 
 def validity_checks(funnel: DataFrame, validity: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from promolens.config import RunConfig
-from promolens.operators import kpis
+from promolens.operators import kpis, quality
 from promolens.operators.attempts import attempts, attempts_window
 from promolens.operators.catalog import Catalog, combo_catalog, combo_ids, combo_requirements_all, promo_validity
 from promolens.operators.funnel import funnel, price_inference
@@ -15,6 +15,7 @@ from promolens.operators.patterns import enrich_attempts, patterns
 from promolens.operators.sessions import sessions
 from promolens.schemas import ATTEMPTS_DDL, FUNNEL_DDL, PATTERNS_DDL, SESSIONS_DDL, conform
 from promolens.session import apply_recommended, stage
+from promolens.sinks.checked import write_checked
 from promolens.sinks.tables import LAYOUT, export_csv, load_table, write_clustered
 from promolens.sources.events import narrow_events, unified_events
 from promolens.sources.tables import CatalogTables, read_result
@@ -79,6 +80,15 @@ def enriched_table(window: DataFrame, catalog: Catalog, cfg: RunConfig, path: st
     return window.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def write_funnel_checked(priced: DataFrame, path: str) -> dict[str, int | float | None]:
+    """Write the priced wide table with its bad rows apart. Returns the integrity counts and the pattern summary, measured
+    by the write itself; ``read_every`` gives the whole table back."""
+    measures = {**kpis.pattern_counts(), **quality.control_totals()}
+    return write_checked(
+        priced, path, *LAYOUT["funnel"], quality.row_checks(), measures, quality.ATTEMPT_KEY, "duplicate_attempts"
+    )
+
+
 def analyze(priced: DataFrame, combos: DataFrame) -> Report:
     """KPIs and promotion incidence of a priced funnel table."""
     report = kpis.session_kpis(kpis.session_rollup(priced))
