@@ -6,7 +6,9 @@ even whatever is frequent. The rows of a bucket meet in one task, which answers
 is repeated; what is repeated inside the block is known there already. The answers of a block then meet its manifest
 (the keys of its texts) and become marks per text.
 
-Block names are hashes of their content, so a task that is run again after a lost executor names its blocks alike.
+A block is named by its task, its place in it and its content: no two blocks share a name, not even those that hold copies
+of one text only, and a task that is run again after a lost executor names its blocks alike. Equal keys of one block are
+answered once.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from promolens.llm.common import U64, Block, blocks, keep
@@ -113,11 +116,12 @@ def _entries(cut: Cut, bits: int, block: bytes) -> Iterator[tuple[int, bytes, in
 
 def _send(make: Callable[[Block], Cut], bits: int, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches, column):
+        task = TaskContext.get().partitionId()
+        for number, part in enumerate(blocks(batches, column)):
             cut = make(part)
             if not len(cut.keys):
                 continue
-            block = hashlib.md5(b"".join(cut.keys) + struct.pack("<I", len(cut.keys))).digest()
+            block = hashlib.md5(struct.pack("<QQ", task, number) + b"".join(cut.keys)).digest()
             rows = list(_entries(cut, bits, block))
             yield pa.record_batch([pa.array(list(c), t.type) for c, t in zip(zip(*rows), ROWS)], schema=ROWS)
 
@@ -198,11 +202,13 @@ def _gather(finish: Callable[[np.ndarray], bytes | None], aux: tuple[bool, ...])
             cuts = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
             names = ids.tobytes()
             some = np.r_[0, np.cumsum(status > 0)][cuts]
+            told: dict[bytes, bytes] = {}
             for i in np.flatnonzero(np.diff(some)).tolist():
+                name = names[16 * i : 16 * i + 16]
                 made = finish(status[cuts[i] : cuts[i + 1]])
                 if made is not None:
-                    keys.append(names[16 * i : 16 * i + 16])
-                    marks.append(made)
+                    told[name] = max(made, told.get(name, made))
+            keys, marks = list(told), list(told.values())
         return pa.table([pa.array(keys, pa.binary()), pa.array(marks, pa.binary())], schema=schema)
 
     return run
