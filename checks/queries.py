@@ -21,7 +21,7 @@ from promolens.functions.times import local_wall, parse_time_text, time_text, ut
 from promolens.operators import attempts as att
 from promolens.operators import catalog as cat
 from promolens.operators import funnel as fun
-from promolens.operators import division, kpis, quality
+from promolens.operators import distinct, division, kpis, quality
 from promolens.operators import patterns as pat
 from promolens.operators import force_index as force
 from promolens.operators import sessions as ses
@@ -30,11 +30,13 @@ from promolens.plans.incremental import AttemptStore, follow
 from promolens.plans.pipeline import combos_of, prepare_catalog, write_funnel_checked
 from promolens.session import stage, work_dir
 from promolens.sinks.checked import read_every, read_quarantine
+from promolens.sinks.interleaved import write_interleaved
 from promolens.sinks.tables import LAYOUT, delete_tables, export_csv, load_from_csv, write_clustered
 from promolens.sinks.versions import Files, VersionedTable
 from promolens.sources import events as src
 from promolens.sources.dates import standardize_dates
 from promolens.sources.fingerprints import ShardLedger
+from promolens.sources.rescued import load_csv_rescued, read_rejects
 from promolens.sources.tables import read_result
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,6 +250,22 @@ def csv_ingest(c: Chain) -> DataFrame:
     return _flat(read_result(c.spark, f"{root}/out", ddl))
 
 
+@query
+def csv_rejects(c: Chain) -> DataFrame:
+    """Orders as CSV lines, some with unreadable values, some with a field too few or too many: the rejected rows."""
+    root = work_dir(c.spark)
+    key, d = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    customer = F.when(key % 7 == 0, F.concat(F.lit("c"), F.col("o_custkey"))).otherwise(F.col("o_custkey").cast("string"))
+    day = F.when(key % 5 == 0, F.lit("31/02/2024")).when(key % 5 == 1, F.lit("")).otherwise(d)
+    fields = F.concat_ws(",", key, customer, day)
+    line = F.when(key % 11 == 0, F.concat(fields, F.lit(",more"))).when(key % 13 == 0, F.concat_ws(",", key, customer)).otherwise(fields)
+    whole = {"sep": "\u0001", "quote": "", "header": "true"}
+    c.fx.table("orders").select(line.alias("o_orderkey,customer,day")).write.options(**whole).csv(f"{root}/in")
+    load_csv_rescued(c.spark, f"{root}/in", f"{root}/out", "o_orderkey bigint, customer bigint, day date", f"{root}/rejects")
+    raw = [F.col("raw")[n].alias(n) for n in ("o_orderkey", "customer", "day")]
+    return read_rejects(c.spark, f"{root}/rejects").select(*raw, F.array_join("reasons", ",").alias("reasons"), "line")
+
+
 @query
 def standardize_dates_(c: Chain) -> DataFrame:
     d = F.col("o_orderdate")
@@ -272,6 +290,14 @@ def roundtrip_partitioned(c: Chain) -> DataFrame:
     return _flat(read_result(c.spark, path, schemas.ATTEMPTS_DDL))
 
 
+@query
+def funnel_interleaved(c: Chain) -> DataFrame:
+    """The wide table stored by interleaved ranks, read back."""
+    path, rows = f"{work_dir(c.spark)}/funnel", stage(c.priced, "funnel")
+    write_interleaved(rows, path, *LAYOUT["funnel"], bloom=("user_pseudo_id", "session_id"))
+    return _flat(read_result(c.spark, path, schemas.FUNNEL_DDL))
+
+
 @query
 def rerun_replaces(c: Chain) -> DataFrame:
     """A wide result, then a narrow one to the same place: nothing of the first is left."""
@@ -683,6 +709,46 @@ def products_in_session(c: Chain) -> DataFrame:
     return _flat(fun.products_in_session(stage(_attempt_rows(c), "rows")))
 
 
+def _by_days(store: distinct.DistinctStore, rows: DataFrame) -> distinct.DistinctStore:
+    """Three deliveries of days in turn; the first days come again whole after a part of them."""
+    days = sorted(r[0] for r in rows.select(distinct.DAY).distinct().collect())  # at most the days of the window
+    store.put(days[::3], rows.where(F.xxhash64(*rows.columns) % 3 == 0))
+    for first in (2, 0, 1):
+        store.put(days[first::3], rows)
+    return store
+
+
+@query
+def products_merged(c: Chain) -> DataFrame:
+    """Distinct items per session over all days and over the first ten, from states by day."""
+    day = F.to_date(parse_time_text(F.col("DATETIME"))).cast("string").alias(distinct.DAY)
+    rows = stage(c.window.select(day, F.col("USER").alias("user_pseudo_id"), F.col("SESION").alias("session_id"), "ITEM"), "items")
+    scope = ["user_pseudo_id", "session_id"]
+    store = _by_days(distinct.DistinctStore(c.spark, f"{work_dir(c.spark)}/products", scope, ["ITEM"]), rows)
+    early = [f"2024-01-{d:02d}" for d in range(1, 11)]
+    both = [n.withColumn("days", F.lit(label)) for label, n in (("all", store.counts()), ("early", store.counts(early)))]
+    return both[0].unionByName(both[1])
+
+
+def _stage_store(c: Chain) -> distinct.DistinctStore:
+    rows = stage(distinct.stage_members(c.priced), "members")
+    return _by_days(distinct.DistinctStore(c.spark, f"{work_dir(c.spark)}/stages", ["stage"], ["user_pseudo_id", "session_id"]), rows)
+
+
+@query
+def conversion_merged(c: Chain) -> DataFrame:
+    return _fine(distinct.rates_of(_stage_store(c).counts()))
+
+
+@query
+def conversion_sketched(c: Chain) -> DataFrame:
+    """Sessions per stage, and whether the estimate from sketches is within four standard errors."""
+    store = _stage_store(c)
+    error = 4 * 1.04 / 2 ** (store.lg_k / 2)
+    both = store.counts().join(store.estimates().withColumnRenamed("n", "estimate"), "stage")
+    return both.select("stage", "n", (F.abs(F.col("estimate") - F.col("n")) <= F.col("n") * error).alias("near"))
+
+
 @query
 def funnel(c: Chain) -> DataFrame:
     return _flat(c.wide)

@@ -59,7 +59,7 @@ def read_result(spark: SparkSession, path: str, ddl: str | None = None) -> DataF
     return spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
 
 
-def _lenient(name: str, kind: T.DataType, source: T.DataType) -> Column:
+def lenient(name: str, kind: T.DataType, source: T.DataType) -> Column:
     """A text column as ``kind``; what cannot be read is NULL. Whole numbers may be written as ``12.0``."""
     value = F.col(f"`{name}`")
     if not isinstance(source, T.StringType) or isinstance(kind, T.StringType):
@@ -79,7 +79,7 @@ def read_csv(spark: SparkSession, path: str, ddl: str, **options: str) -> DataFr
     fields = {f.name: f.dataType for f in schema_of(ddl).fields}
     dates = [n for n, t in fields.items() if isinstance(t, (T.DateType, T.TimestampNTZType))]
     dated = standardize_dates(raw, dates)
-    typed = {n: _lenient(n, t, dated.schema[n].dataType) for n, t in fields.items() if n in dated.columns}
+    typed = {n: lenient(n, t, dated.schema[n].dataType) for n, t in fields.items() if n in dated.columns}
     return dated.withColumns(typed) if typed else dated
 
 
@@ -87,5 +87,5 @@ def unread_values(spark: SparkSession, path: str, ddl: str, **options: str) -> D
     """One row: per column of the target schema, how many non-empty values of the CSV become NULL when it is read."""
     raw = spark.read.options(header=True, inferSchema=False, **options).csv(path)
     fields = [f for f in schema_of(ddl).fields if f.name in raw.columns]
-    lost = [F.count_if(F.col(f.name).isNotNull() & _lenient(f.name, f.dataType, T.StringType()).isNull()).alias(f.name) for f in fields]
+    lost = [F.count_if(F.col(f.name).isNotNull() & lenient(f.name, f.dataType, T.StringType()).isNull()).alias(f.name) for f in fields]
     return raw.agg(*lost)
