@@ -3,8 +3,11 @@
 Base spans are what four patterns find and their checks confirm. Information-theoretic sanitisation adds terms: over
 the whole corpus, the documents that hold both a term and a protected entity, at any distance, are counted. With n documents,
 information content IC(e) = log2(n / n_e) and PMI(t, e) = log2(n * n_te / (n_t * n_e)), a term discloses the entity if
-PMI >= IC / ALPHA and at least ``support`` different texts show the two together; the query and the pipeline ask for one
-text (ANY), so entities of any frequency are protected. Disclosing terms become spans in the texts in which their entity stands; words without digits are removed or generalised there as entities are.
+PMI >= IC / ALPHA and meeting the entity so often is no chance: by a Chernoff bound on the Poisson law, fewer than CHANCE
+terms of the corpus' whole vocabulary would be expected in so many different texts of the entity. Rarity alone is no
+evidence: a word of one text meets whatever that text holds, so in a small corpus an entity of one text discloses nothing.
+No number of texts is required: where documents far outnumber terms, one meeting can be enough. Disclosing terms become
+spans in the texts in which their entity stands; words without digits are removed or generalised there as entities are.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from promolens.llm.common import keep, text_key
 KINDS = ("email", "ip", "card", "phone", "term")
 LABELS = {k: f"[{k.upper()}]" for k in KINDS}
 ALPHA = 1.25
-SUPPORT = 3
+CHANCE = 0.05
 ANY = 1
 LEAST_LETTERS = 3
 # A match of the first two patterns can only start at the start of its run of characters or right after a match; saying
@@ -115,34 +118,49 @@ def _words(text: Column) -> Column:
     return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w) >= LEAST_LETTERS)
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, alpha: float, support: int) -> DataFrame:
+def _evidence(seen: Column, expected: Column) -> Column:
+    """Least -ln P(X >= seen) for a Poisson X of mean ``expected``; rises with ``seen`` above the mean, 0 up to it."""
+    return F.when(seen > expected, seen * F.ln(seen / expected) - seen + expected).otherwise(F.lit(0.0))
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, alpha: float, support: int, chance: float) -> DataFrame:
     """(key, term): the terms of each text that disclose one of its entities. ``found`` has the texts with spans (key,
     copies, entities, words).
 
-    Entities of the same texts have equal counts with every term and are counted as one.
+    Entities of the same texts have equal counts with every term and are counted as one. Copies of a text count in n, n_t,
+    n_e and n_te, but as one text where chance is judged.
     """
     n = F.lit(float(max(docs.count(), 1)))
     each = found.select("key", "copies", F.explode("entities").alias("name"))
     same = each.groupBy("name").agg(
-        F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"), F.sum("copies").alias("n_e")
+        F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"), F.sum("copies").alias("n_e"), F.count("*").alias("places")
     )
     entity = F.struct("x", "y", "n_e").alias("entity")
     content = F.log2(n / F.col("n_e")).alias("content")
-    held = each.join(same, "name").select("key", "copies", entity, "n_e", content).filter("content > 0").distinct()
+    held = each.join(same, "name").select("key", "copies", entity, "n_e", "places", content).filter("content > 0").distinct()
     held = keep(held, "entities")
     terms = docs.select(F.explode(_words(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    # PMI is at most log2(n / n_t): a term too frequent for that is not paired. The margin covers rounding.
+    terms = keep(terms, "vocabulary")
+    enough = F.ln(F.lit(max(terms.count(), 1) / chance))
+    expected = F.col("n_t") * F.col("places") / n
+    # PMI is at most log2(n / n_t), and a term meets an entity in no more texts than hold either: what cannot reach both
+    # bounds is not paired. The margin covers rounding.
     most = F.log2(n / F.col("n_t")) + 1e-9
-    least = held.groupBy("key").agg(F.min("content").alias("least"))
-    rare = found.select("key", F.explode("words").alias("term")).join(least, "key").join(terms, "term").filter(most >= F.col("least") / alpha)
-    near = keep(held.join(rare.drop("least"), "key").filter(most >= F.col("content") / alpha), "near")
-    pairs = near.groupBy("entity", "n_e", "content", "term", "n_t").agg(F.sum("copies").alias("n_te"), F.count("*").alias("texts"))
+    least = held.groupBy("key").agg(F.min("content").alias("least"), F.min("places").alias("fewest"), F.max("places").alias("most_places"))
+    bound = F.least("n_t", "most_places")
+    likely = bound * F.ln(bound / (F.col("n_t") * F.col("fewest") / n)) + 1e-9 >= enough
+    rare = found.select("key", F.explode("words").alias("term")).join(least, "key").join(terms, "term")
+    rare = rare.filter((most >= F.col("least") / alpha) & likely).select("key", "term", "n_t")
+    can = _evidence(F.least("n_t", "places"), expected) + 1e-9 >= enough
+    near = keep(held.join(rare, "key").filter((most >= F.col("content") / alpha) & can), "near")
+    pairs = near.groupBy("entity", "n_e", "places", "content", "term", "n_t").agg(F.sum("copies").alias("n_te"), F.count("*").alias("texts"))
     pmi = F.log2(n * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    telling = pairs.filter((F.col("texts") >= support) & (pmi >= F.col("content") / alpha)).select("entity", "term")
+    sure = _evidence(F.col("texts"), expected) >= enough
+    telling = pairs.filter((F.col("texts") >= support) & (pmi >= F.col("content") / alpha) & sure).select("entity", "term")
     return near.join(telling, ["entity", "term"], "left_semi").select("key", "term").distinct()
 
 
-def spans_by_text(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+def spans_by_text(docs: DataFrame, alpha: float = ALPHA, support: int = ANY, chance: float = CHANCE) -> DataFrame:
     """(key, spans) of every text with personal data: base spans and, after them, those of disclosing terms."""
     text = docs.select(F.coalesce("text", F.lit("")).alias("text"), text_key().alias("key"))
     based = base_spans(text)
@@ -151,7 +169,7 @@ def spans_by_text(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT)
     # Filtered after the aggregation: a filter before it would be pushed down and look for the spans a second time.
     each = each.groupBy("key").agg(*(F.first(c).alias(c) for c in ("base", "entities", "words")), F.count("*").alias("copies"))
     found = keep(each.filter(F.size("base") > 0), "personal")
-    terms = keep(disclosing_terms(docs, found, alpha, support), "terms")
+    terms = keep(disclosing_terms(docs, found, alpha, support, chance), "terms")
     held = text.join(terms.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
     held = _located(held, "word", r"\p{L}+", F.lit(True)).select("key", F.explode("word").alias("w"))
     hit = held.withColumn("term", F.lower("w.value")).join(terms, ["key", "term"], "left_semi")
@@ -168,13 +186,14 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def personal_data(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
-    """Returns per input row doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term.
+def personal_data(docs: DataFrame, alpha: float = ALPHA, support: int = ANY, chance: float = CHANCE) -> DataFrame:
+    """Returns per input row doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term, n_spans.
 
-    A null text counts as empty and has no spans; an empty list of spans hashes as the empty string; rows with equal
+    ``support`` is the least number of different texts of an entity and a term, ``chance`` the number of terms that may meet
+    an entity by chance. A null text counts as empty and has no spans; an empty list of spans hashes as the empty string; rows with equal
     texts are equal in all but doc_id; a null doc_id stays null. Other columns are not read.
     """
-    spans = spans_by_text(docs, alpha, support)
+    spans = spans_by_text(docs, alpha, support, chance)
     rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("key")).join(spans, "key", "left")
     rows = rows.withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
     count = lambda number: F.size(F.filter("spans", lambda s: s["kind"] == number)).cast("long")
@@ -184,16 +203,17 @@ def personal_data(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT)
         F.sha2(_listed(F.filter("spans", lambda s: s["kind"] < 4)).cast("binary"), 256).alias("base_sha256"),
         _listed(F.col("spans")).alias("spans"),
         count(4).alias("n_term"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 
-def redact(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+def redact(docs: DataFrame, alpha: float = ALPHA, support: int = ANY, chance: float = CHANCE) -> DataFrame:
     """``docs`` with every span replaced by the label of its kind; where spans overlap, the label of the
     first one stays, of the longest if they start together.
 
     Texts without spans, nulls included, stay as they are, and so do all other columns.
     """
-    spans = spans_by_text(docs, alpha, support).withColumnRenamed("key", "_key").withColumnRenamed("spans", "_spans")
+    spans = spans_by_text(docs, alpha, support, chance).withColumnRenamed("key", "_key").withColumnRenamed("spans", "_spans")
     ordered = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
     state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     labels = F.array(*(F.lit(LABELS[k]) for k in KINDS))
@@ -211,4 +231,4 @@ def redact(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> Dat
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"), support=ANY)
+    return personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"))

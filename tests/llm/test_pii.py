@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 from collections import defaultdict
 
@@ -54,7 +55,7 @@ def test_base_equals_brute_force(make_docs):
         assert [got[i][f"n_{k}"] for k in PATTERNS] == [sum(w[0] == k for w in want) for k in PATTERNS]
 
 
-def telling(texts, alpha, support):
+def telling(texts, alpha, chance=0.05):
     n, n_t, n_e, n_te, kinds = len(texts), defaultdict(set), defaultdict(set), defaultdict(set), defaultdict(set)
     for i, t in enumerate(texts):
         t = t or ""
@@ -70,10 +71,13 @@ def telling(texts, alpha, support):
                 n_te[e, w].add(i)
                 kinds[e, w].add(t)
     out = defaultdict(set)
+    enough = math.log(len(n_t) / chance)
     for (e, w), docs in n_te.items():
+        seen, mean = len(kinds[e, w]), len(n_t[w]) * len({texts[i] for i in n_e[e]}) / n
+        sure = seen > mean and seen * math.log(seen / mean) - seen + mean >= enough
         content = math.log2(n / len(n_e[e]))
         pmi = math.log2(n * len(docs) / (len(n_t[w]) * len(n_e[e])))
-        if content > 0 and pmi >= content / alpha and len(kinds[e, w]) >= support:
+        if content > 0 and pmi >= content / alpha and sure:
             for i in docs:
                 out[i].add(w)
     return out
@@ -81,9 +85,9 @@ def telling(texts, alpha, support):
 
 def test_terms_follow_the_information_they_give(make_docs):
     texts = [f"report {i}: agent Falcone (reach falcone@x.example) met someone {'abcdefghij'[i]}" for i in range(6)]
-    texts += [texts[0]] * 2 + [f"plain note {i} about Falcone no report, met agent" for i in range(2)] + ["other words agent report met someone"] * 40
+    texts += [texts[0]] * 2 + [f"plain note {i} about Falcone no report, met agent" for i in range(2)] + ["other words agent report met someone"] * 400
     texts += ["one off Zebra z@y.example"] * 3
-    want = telling(texts, 1.25, 3)
+    want = telling(texts, 1.25)
     assert want[0] == {"falcone", "reach"} and 50 not in want and "agent" not in want[0]
     got = {r.doc_id: r.spans for r in personal_data(make_docs(texts)).collect()}
     for i, t in enumerate(texts):
@@ -93,7 +97,7 @@ def test_terms_follow_the_information_they_give(make_docs):
         assert got[i] == ",".join(f"{k}:{a}:{b}" for k, a, b in spans + words)
     clean = {r.doc_id: r.text for r in redact(make_docs(texts)).collect()}
     assert clean[0] == "report 0: agent [TERM] ([TERM] [EMAIL]) met someone a"
-    assert clean[8] == texts[8] and clean[50] == "one off Zebra [EMAIL]"
+    assert clean[8] == texts[8] and clean[len(texts) - 1] == "one off Zebra [EMAIL]"
 
 
 def test_redaction_of_overlaps_and_edges(make_docs):
@@ -106,7 +110,7 @@ def test_redaction_of_overlaps_and_edges(make_docs):
 
 
 def test_query_and_pipeline_protect_entities_of_one_text(spark, make_docs, tmp_path):
-    texts = ["one off Zebra z@y.example", *["copied Yak k@y.example here"] * 3, *(f"plain words one off copied here {i}" for i in range(40))]
+    texts = ["one off Zebra z@y.example", *["copied Yak k@y.example here"] * 3, *(f"plain words one off copied here {i}" for i in range(2000))]
     docs = make_docs(texts)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.spans for r in op9_pii(spark, str(tmp_path)).collect()}
@@ -124,3 +128,18 @@ def test_terms_far_from_their_entity(make_docs):
     texts = [f"Quagga q@y.example {i}" if i % 2 else f"Quagga {far} q@y.example {i}" for i in range(6)] + ["filler plain"] * 60
     got = {r.doc_id: r.text for r in redact(make_docs(texts)).collect()}
     assert all(got[i].startswith("[TERM] ") for i in range(6)) and got[6] == "filler plain"
+
+
+def test_rare_words_are_no_evidence_and_true_company_is(make_docs):
+    rng = random.Random(5)
+    letters = lambda i: "".join("abcdefghij"[int(d)] for d in f"{i:05d}")
+    word = lambda: f"w{letters(int(rng.paretovariate(0.6)) % 90_000)}"
+    texts = [" ".join(word() for _ in range(60)) + f" person{letters(i)}@x.example" * (i % 3 == 0) for i in range(900)]
+    for i in range(0, 20, 4):
+        texts[i] = f"Thunderbird {texts[i]} boss@y.example"
+    rows = personal_data(make_docs(texts)).collect()
+    said = {r.doc_id: [texts[r.doc_id][int(a) : int(b)] for k, a, b in (s.split(":") for s in r.spans.split(",") if s) if k == "term"] for r in rows}
+    assert all(said[i] == ["Thunderbird"] for i in range(0, 20, 4))
+    held = [i for i in range(900) if base(texts[i])]
+    assert sum(len(said[i]) for i in held) <= 0.01 * sum(len(texts[i].split()) for i in held)
+    assert all(r.n_spans == r.n_term + len(base(texts[r.doc_id])) for r in rows)
