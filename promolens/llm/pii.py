@@ -165,12 +165,12 @@ def spans_by_text(docs: DataFrame, alpha: float = ALPHA, support: int = ANY, cha
     text = docs.select(F.coalesce("text", F.lit("")).alias("text"), text_key().alias("key"))
     based = base_spans(text)
     entities = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"].cast("string"), F.lower(s["value"]))))
-    each = based.select("key", "base", entities.alias("entities"), F.when(F.size("base") > 0, _words(F.col("text"))).alias("words"))
+    each = based.select("key", "base", entities.alias("entities"), F.when(F.size("base") > 0, _words(F.col("text"))).alias("words"), F.when(F.size("base") > 0, F.col("text")).alias("text"))
     # Filtered after the aggregation: a filter before it would be pushed down and look for the spans a second time.
-    each = each.groupBy("key").agg(*(F.first(c).alias(c) for c in ("base", "entities", "words")), F.count("*").alias("copies"))
+    each = each.groupBy("key").agg(*(F.first(c).alias(c) for c in ("base", "entities", "words", "text")), F.count("*").alias("copies"))
     found = keep(each.filter(F.size("base") > 0), "personal")
     terms = keep(disclosing_terms(docs, found, alpha, support, chance), "terms")
-    held = text.join(terms.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    held = found.select("key", "text").join(terms.select("key").distinct(), "key", "left_semi")
     held = _located(held, "word", r"\p{L}+", F.lit(True)).select("key", F.explode("word").alias("w"))
     hit = held.withColumn("term", F.lower("w.value")).join(terms, ["key", "term"], "left_semi")
     span = F.struct(F.lit(4).alias("kind"), F.col("w.start").alias("start"), (F.col("w.start") + F.length("w.value")).alias("end"), F.col("w.value").alias("value"))
