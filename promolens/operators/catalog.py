@@ -39,7 +39,7 @@ def promo_validity(purchases: DataFrame, payments: DataFrame) -> DataFrame:
         "clave_promocion", F.col("agrupador_interno_compra").cast("string").alias("_key")
     ).distinct()
     return (
-        bought.join(spans, "_key", "left")
+        bought.join(spans.hint("merge"), "_key", "left")
         .groupBy("clave_promocion")
         .agg(
             F.to_date(F.min("_first")).alias("d_inicio_promocion"),
@@ -77,7 +77,8 @@ def combo_catalog(
     """Promotions over more than one distinct product, with benefit, criterion and category text.
 
     The distinct count is a grouped aggregate joined back, not a window, so a promotion with very many conditions
-    is counted in parallel.
+    is counted in parallel. Sides that grow with the catalogue are merged: the planner's guess of their size may be far
+    too low, and a side that is broadcast passes through the driver.
     """
     def text(df: DataFrame, key: str, col: str, alias: str) -> DataFrame:
         return df.select(key, F.col(col).alias(alias))
@@ -92,21 +93,21 @@ def combo_catalog(
         products.select(
             "clave_edicion_producto", "desc_sorteo", "tipo_producto", "numero_sorteo", "precio_unitario",
             F.col("clave_edicion_producto").alias("_known"),
-        ),
+        ).hint("merge"),
         "clave_edicion_producto",
         "left",
     )
     base = (
         promotions.select("clave_promocion", "desc_promocion", "descl_promocion", "clave_categoria")
-        .join(groups.select("clave_promocion", "clave_grupo_condiciones"), "clave_promocion", "left")
-        .join(conds, "clave_grupo_condiciones", "left")
+        .join(groups.select("clave_promocion", "clave_grupo_condiciones").hint("merge"), "clave_promocion", "left")
+        .join(conds.hint("merge"), "clave_grupo_condiciones", "left")
     )
     combined = base.groupBy("clave_promocion").agg(F.count_distinct("_known").alias("cant_sorteos")).where(
         "cant_sorteos > 1"
     )
     out = (
-        base.join(combined, "clave_promocion")
-        .join(benefits.select("clave_grupo_condiciones", "clave_tipo_beneficio", "cantidad"), "clave_grupo_condiciones", "left")
+        base.join(combined.hint("merge"), "clave_promocion")
+        .join(benefits.select("clave_grupo_condiciones", "clave_tipo_beneficio", "cantidad").hint("merge"), "clave_grupo_condiciones", "left")
         .join(text(benefit_types, "clave_tipo_beneficio", "descripcion", "desc_beneficio_promocion"), "clave_tipo_beneficio", "left")
         .join(text(quantity_types, "clave_tipo_cantidad_condicion", "descripcion", "desc_tipo_cantidad_promocion"), "clave_tipo_cantidad_condicion", "left")
         .join(text(criterion_types, "clave_tipo_criterio_condicion", "descripcion", "desc_tipo_criterio_condicion"), "clave_tipo_criterio_condicion", "left")
@@ -168,8 +169,8 @@ def promo_conditions(
     spans = validity_lookup(validity)
     types = quantity_types.select("clave_tipo_cantidad_condicion", "descripcion")
     out = (
-        conditions.join(groups.select("clave_grupo_condiciones", "clave_promocion"), "clave_grupo_condiciones", "left")
-        .join(spans, "clave_promocion", "left")
+        conditions.join(groups.select("clave_grupo_condiciones", "clave_promocion").hint("merge"), "clave_grupo_condiciones", "left")
+        .join(spans.hint("merge"), "clave_promocion", "left")
         .join(types, "clave_tipo_cantidad_condicion", "left")
     )
     return out.withColumn(
@@ -223,7 +224,7 @@ class Catalog:
             F.count_if(F.col("cantidad_requerida") > 0).alias("n_required")
         )
         spans = validity_lookup(self.validity)
-        return stage(rows.join(needed, "clave_promocion").join(spans, "clave_promocion", "left"), "timed_requirements")
+        return stage(rows.join(needed.hint("merge"), "clave_promocion").join(spans.hint("merge"), "clave_promocion", "left"), "timed_requirements")
 
     @cached_property
     def products_bounded(self) -> bool:

@@ -18,6 +18,7 @@ from promolens.operators.catalog import Catalog
 from promolens.operators.lookup import lookup_join
 from promolens.operators.patterns import STAGES, session_products
 from promolens.functions.rules import active
+from promolens.session import stage
 from promolens.sinks.versions import VersionedTable
 
 KEY = ["USER", "SESION"]
@@ -61,6 +62,8 @@ def complete_by_bits(state: DataFrame, catalog: Catalog) -> DataFrame:
     sums = merge_states(state)
     first = F.min("_at").over(Window.partitionBy(*KEY))
     sessions = sums.repartition(*KEY).withColumn("_session_at", first)
+    if not catalog.requirements_bounded:
+        sessions = stage(sessions, "session_totals")
     bits = requirement_bits(catalog.requirements)
     hits = lookup_join(sessions, bits, [PRODUCT], "inner", catalog.requirements_bounded, KEY)
     hits = hits.where(active(F.col("_session_at"), F.col("d_inicio_promocion"), F.col("d_cierre_promocion")))

@@ -120,15 +120,17 @@ def _packed(rows: DataFrame, index: DataFrame) -> DataFrame:
     return out.withColumns(cols).drop("_candidates")
 
 
-def _joined(rows: DataFrame, index: DataFrame) -> DataFrame:
+def _joined(rows: DataFrame, index: DataFrame, stored: DataFrame) -> DataFrame:
     """The same for a catalogue of any size: each row meets its blocks in a salted join, and its hits come back by the key
     of the row."""
     keys = ["USER", "SESION", "ITEM", "INTENTO", *[c for c in (RAW_ITEM,) if c in rows.columns], PRODUCT]
     day = day_number(F.col(AT))
     places = F.array(*[F.struct(F.lit(i).alias("_level"), block_of(day, n).alias("_block")) for i, n in enumerate(LENGTHS)])
-    narrow = rows.where(F.col(AT).isNotNull()).select(*keys, AT, *[q for q, _, _, _ in STAGES], F.explode(places).alias("_b"))
+    timed = F.col(AT).isNotNull()
+    narrow = rows.where(timed).select(*keys, AT, *[q for q, _, _, _ in STAGES], F.explode(places).alias("_b"))
     narrow = narrow.select("*", "_b._level", "_b._block").drop("_b")
-    found = lookup_join(narrow, index, _WHERE, "inner", False, keys[:4])
+    counted = stored.where(timed).select(PRODUCT, F.explode(places).alias("_b")).select(PRODUCT, "_b._level", "_b._block")
+    found = lookup_join(narrow, index, _WHERE, "inner", False, keys[:4], counted=counted)
     rule = {c: F.col(c) for c in index.columns}
     cols = {}
     for name, _, stage_name, _ in STAGES:
@@ -157,14 +159,18 @@ def met_by_quantity(rows: DataFrame, catalog: Catalog) -> DataFrame:
     )
 
 
-def _with_met(rows: DataFrame, catalog: Catalog) -> DataFrame:
+def _with_met(ruled: DataFrame, rows: DataFrame, catalog: Catalog) -> DataFrame:
+    """``ruled`` with the promotions that each quantity meets; ``rows`` are the same rows before they met any rule."""
     table = stage(met_by_quantity(rows, catalog), "met")
     bounded = fits(table.select(F.explode("_met")), catalog.max_rows)
-    out = rows
+    out = ruled
     for name, _, stage_name, _ in STAGES:
-        usable = out.withColumn("_units", F.when(F.col(AT).isNotNull(), F.col(name)))
+        units = F.when(F.col(AT).isNotNull() & (F.col(name) != 0), F.col(name))
         mine = table.withColumnRenamed("_met", f"_met_{stage_name}")
-        out = lookup_join(usable, mine, [PRODUCT, "_units"], "left", bounded, ["USER", "SESION", "INTENTO"]).drop("_units")
+        out = lookup_join(
+            out.withColumn("_units", units), mine, [PRODUCT, "_units"], "left", bounded, ["USER", "SESION", "INTENTO"],
+            counted=rows.select(PRODUCT, units.alias("_units")),
+        ).drop("_units")
     return out
 
 
@@ -174,8 +180,8 @@ def patterns_by_day(rows: DataFrame, catalog: Catalog) -> DataFrame:
     timed = timed_rows(with_sessions(rows, combo_session_complete(rows, catalog)))
     index = stage(day_rules(catalog), "day_rules")
     few = fits(index, catalog.max_rows) and widest(index.withColumn("_at_once", F.struct(*_WHERE)), key="_at_once") <= catalog.max_per_product
-    ruled = _packed(timed, index) if few else _joined(timed, index)
-    return pattern_table(_with_met(ruled, catalog))
+    ruled = _packed(timed, index) if few else _joined(timed, index, timed_rows(rows))
+    return pattern_table(_with_met(ruled, timed_rows(rows), catalog))
 
 
 def rules_tested(rows: DataFrame, catalog: Catalog) -> DataFrame:

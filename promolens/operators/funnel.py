@@ -16,6 +16,7 @@ from promolens.functions.times import minute_of, parse_time_text
 from promolens.operators.catalog import catalog_items
 from promolens.operators.lookup import fits, lookup_join
 from promolens.operators.patterns import STAGES
+from promolens.session import stage
 
 KEY = ["user_pseudo_id", "session_id"]
 _NO_USER, _NO_SESSION = "\u0000", -(2**63)
@@ -171,10 +172,10 @@ def item_prices(products: DataFrame) -> DataFrame:
 def price_inference(wide: DataFrame, products: DataFrame, cfg: RunConfig) -> DataFrame:
     """Unit price from the purchase, else from the catalogue by cleaned item; amounts of all stages from it."""
     rows = wide.withColumn("ITEM", clean_item(F.col("ITEM"), cfg.name_rewrites))
-    priced = lookup_join(
-        rows, item_prices(products), ["ITEM"], "left",
-        fits(products.select("desc_sorteo"), cfg.broadcast_rows), [*KEY, "intento"],
-    )
+    bounded = fits(products.select("desc_sorteo"), cfg.broadcast_rows)
+    if not bounded:
+        rows = stage(rows, "clean_wide")
+    priced = lookup_join(rows, item_prices(products), ["ITEM"], "left", bounded, [*KEY, "intento"])
     price = F.coalesce(F.col("precio_unitario_inferido").cast("double"), F.col("_price"))
     priced = priced.withColumns(
         {"precio_unitario_inferido": price, **{q: F.col(q).cast("double") for _, q in AMOUNTS}}

@@ -2,8 +2,8 @@
 
 Rules travel to the rows: when the catalogue passes its size check, all conditions of a product form one array that
 is broadcast to the attempts, and every stage is evaluated with array functions. No row is multiplied and nothing is
-regrouped, so simple promotions need no shuffle of the attempts at all. A larger catalogue takes a salted join
-instead. Combined promotions need the session totals; these are reduced to one short row per session that closes at
+regrouped, so simple promotions need no shuffle of the attempts at all. Of a larger catalogue the rules of the products
+that occur are taken; if these are still too many, a join that salts hot products takes the place of the arrays. Combined promotions need the session totals; these are reduced to one short row per session that closes at
 least one of them.
 """
 
@@ -17,7 +17,8 @@ from promolens.functions.rules import active, meets, one_short, rule_bounds
 from promolens.functions.text import clean_item, override_item
 from promolens.functions.times import days_between_dates, parse_time_text, utc_wall_column
 from promolens.operators.catalog import Catalog, catalog_items, combo_ids
-from promolens.operators.lookup import lookup_join
+from promolens.operators.lookup import fits, lookup_join, widest
+from promolens.session import stage as write_once
 
 # Quantity column, flag column suffix, promo column infix and amount column of each stage.
 STAGES = (
@@ -51,16 +52,18 @@ def enrich_attempts(window: DataFrame, catalog: Catalog, cfg: RunConfig, dedup_c
         lookup = lookup.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     name = override_item(F.col("_clean"), cfg.item_overrides)
     rows = window.withColumns({RAW_ITEM: F.col("ITEM"), "_clean": clean_item(F.col("ITEM"), cfg.name_rewrites)})
-    rows = rows.withColumn("ITEM", name)
+    rows = rows.withColumn("ITEM", name).drop("_clean")
+    if not catalog.products_bounded:
+        rows = write_once(rows, "clean_attempts")
     joined = lookup_join(
-        rows.drop("_clean"), lookup, ["ITEM"], "left", catalog.products_bounded, ["USER", "SESION", "INTENTO"]
+        rows, lookup, ["ITEM"], "left", catalog.products_bounded, ["USER", "SESION", "INTENTO"]
     )
     price = F.col("precio_unitario")
     amounts = {amount: price * F.col(qty) for qty, _, _, amount in STAGES}
     # Only the cart amount of an unpriced item is zero; the two others stay NULL.
     amounts["MONTO_ADD_TO_CART"] = F.coalesce(amounts["MONTO_ADD_TO_CART"], F.lit(0.0))
     return joined.withColumns(
-        {"dias_para_sorteo": days_between_dates(F.col("_draw"), attempt_time(window)), **amounts}
+        {"dias_para_sorteo": days_between_dates(F.col("_draw"), attempt_time(rows)), **amounts}
     ).drop("_draw")
 
 
@@ -88,6 +91,8 @@ def combo_session_complete(rows: DataFrame, catalog: Catalog) -> DataFrame:
     per_session = sums.repartition("USER", "SESION").withColumn(
         "_session_at", F.min("_at").over(Window.partitionBy("USER", "SESION"))
     )
+    if not catalog.requirements_bounded:
+        per_session = write_once(per_session, "session_products")
     hits = lookup_join(
         per_session, catalog.requirements, ["clave_edicion_producto"], "inner", catalog.requirements_bounded,
         ["USER", "SESION"],
@@ -116,9 +121,11 @@ def simple_rules(catalog: Catalog) -> DataFrame:
         F.col("clave_tipo_cantidad_condicion"), F.col("cantidad_inicial"), F.col("cantidad_final")
     )
     start, end = _closed_window("d_inicio_promocion", "d_cierre_promocion")
+    combos = combo_ids(catalog.requirements_all)
+    combos = combos if catalog.requirements_bounded else combos.hint("merge")
     conditions = catalog.conditions.where(
         F.col("clave_promocion").isNotNull() & F.col("clave_edicion_producto").isNotNull()
-    ).join(combo_ids(catalog.requirements_all), "clave_promocion", "left_anti")
+    ).join(combos, "clave_promocion", "left_anti")
     return conditions.withColumn("_b", bounds).select(
         "clave_edicion_producto",
         F.col("clave_promocion").cast("bigint").alias("promo"),
@@ -144,15 +151,26 @@ def combined_rules(catalog: Catalog) -> DataFrame:
     )
 
 
-def product_rules(catalog: Catalog) -> DataFrame:
-    """Per product: its simple conditions and its combined requirements, as two arrays. Only for a catalogue that
-    passed the size checks, of the whole and of its widest product."""
+def product_rules(simple: DataFrame, combined: DataFrame) -> DataFrame:
+    """Per product: its simple conditions and its combined requirements, as two arrays. Only for rules that passed the
+    size checks, of all and of the widest product."""
     def packed(rules: DataFrame, name: str) -> DataFrame:
         fields = [c for c in rules.columns if c != "clave_edicion_producto"]
         return rules.groupBy("clave_edicion_producto").agg(F.collect_list(F.struct(*fields)).alias(name))
 
-    simple, combined = packed(simple_rules(catalog), "_simple"), packed(combined_rules(catalog), "_combined")
-    return simple.join(combined, "clave_edicion_producto", "full")
+    return packed(simple, "_simple").join(packed(combined, "_combined"), "clave_edicion_producto", "full")
+
+
+def occurring_rules(rows: DataFrame, catalog: Catalog) -> tuple[DataFrame, DataFrame, bool]:
+    """Simple and combined rules of the products that occur in ``rows``, written, and whether they may travel to the rows:
+    attempts often touch few products of a large catalogue."""
+    products = rows.select("clave_edicion_producto").dropna().distinct().hint("merge")
+    simple, combined = (
+        write_once(rules.join(products, "clave_edicion_producto", "left_semi"), label)
+        for rules, label in ((simple_rules(catalog), "simple_rules"), (combined_rules(catalog), "combined_rules"))
+    )
+    few = fits(simple, catalog.max_rows) and fits(combined, catalog.max_rows)
+    return simple, combined, few and widest(simple, combined) <= catalog.max_per_product
 
 
 def _ids(entries: Column) -> Column:
@@ -191,16 +209,20 @@ def timed_rows(rows: DataFrame) -> DataFrame:
     return rows.withColumn(AT, F.when(usable, attempt_time(rows)))
 
 
-def _with_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
+def _with_rules(rows: DataFrame, catalog: Catalog, stored: DataFrame | None = None) -> DataFrame:
     """Per stage, the conditions met, those of them in force, the near misses in force and the owned combined
-    promotions of every row. Rows without user, session, product or readable time match nothing."""
-    timed = timed_rows(rows)
-    return _with_packed_rules(timed, catalog) if catalog.rules_bounded else _with_joined_rules(timed, catalog)
+    promotions of every row. Rows without user, session, product or readable time match nothing. ``stored`` holds the
+    products of ``rows`` where it is cheaper to read."""
+    timed, stored = timed_rows(rows), rows if stored is None else stored
+    if catalog.rules_bounded:
+        return _with_packed_rules(timed, simple_rules(catalog), combined_rules(catalog))
+    simple, combined, few = occurring_rules(stored, catalog)
+    return _with_packed_rules(timed, simple, combined) if few else _with_joined_rules(timed, simple, combined, stored)
 
 
-def _with_packed_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
+def _with_packed_rules(rows: DataFrame, simple: DataFrame, combined: DataFrame) -> DataFrame:
     """Rules as arrays next to the row. Stages without units skip the evaluation, and nothing is shuffled."""
-    joined = rows.join(F.broadcast(product_rules(catalog)), "clave_edicion_producto", "left")
+    joined = rows.join(F.broadcast(product_rules(simple, combined)), "clave_edicion_producto", "left")
     joined = joined.withColumns(
         {c: F.when(F.col("_at").isNotNull(), F.col(c)) for c in ("_simple", "_combined")}
     )
@@ -214,13 +236,13 @@ def _with_packed_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
     return joined.withColumns(out).withColumns(live).drop("_simple", "_combined")
 
 
-def _with_joined_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
-    """The same columns for a catalogue of any size: a salted join with the rule rows, only the hits of a row are
+def _with_joined_rules(rows: DataFrame, simple: DataFrame, of_combined: DataFrame, stored: DataFrame) -> DataFrame:
+    """The same columns for a catalogue of any size: a join with the rule rows, hot products salted, only the hits of a row are
     collected, and they come back by the key of the row: user, session, raw and clean item, attempt and product."""
     keys = [*_ROW, *[c for c in (RAW_ITEM,) if c in rows.columns], "clave_edicion_producto"]
     narrow = rows.where(F.col("_at").isNotNull()).select(*keys, "_at", *[q for q, _, _, _ in STAGES])
     parts = []
-    for rules, combined in ((simple_rules(catalog), False), (combined_rules(catalog), True)):
+    for rules, combined in ((simple, False), (of_combined, True)):
         c = {name: F.col(name) for name in rules.columns}
         entry = F.struct("promo", (F.lit(None).cast("string").alias("text") if combined else F.col("text")))
         hits = {}
@@ -232,7 +254,7 @@ def _with_joined_rules(rows: DataFrame, catalog: Catalog) -> DataFrame:
             hits[f"_live_{stage}"] = F.when(hit & in_force(c), entry)
             hits[f"_near_{stage}"] = F.when(close, F.col("promo"))
             hits[f"_own_{stage}"] = F.when(owned(c, qty) if combined else F.lit(False), F.col("promo"))
-        found = lookup_join(narrow, rules, ["clave_edicion_producto"], "inner", False, _ROW)
+        found = lookup_join(narrow, rules, ["clave_edicion_producto"], "inner", False, _ROW, counted=stored)
         parts.append(found.select(*keys, *[v.alias(k) for k, v in hits.items()]))
     names = [c for c in parts[0].columns if c not in keys]
     every = parts[0].unionByName(parts[1]).where(" or ".join(f"{c} is not null" for c in names))
@@ -283,7 +305,7 @@ def _combined_sets(stage: str) -> tuple[Column, Column]:
 
 def combo_promos(rows: DataFrame, catalog: Catalog) -> DataFrame:
     """Combined promotions only. A row counts when its own quantity reaches its product's requirement."""
-    ruled = _with_rules(with_sessions(rows, combo_session_complete(rows, catalog)), catalog)
+    ruled = _with_rules(with_sessions(rows, combo_session_complete(rows, catalog)), catalog, rows)
     out = {}
     for _, _, stage, _ in STAGES:
         complete, incomplete = _combined_sets(stage)
@@ -295,7 +317,7 @@ def combo_promos(rows: DataFrame, catalog: Catalog) -> DataFrame:
 
 def patterns(rows: DataFrame, catalog: Catalog) -> DataFrame:
     """Pattern table: simple and combined promotions per row and stage, plus the summary flags."""
-    return pattern_table(_with_rules(with_sessions(rows, combo_session_complete(rows, catalog)), catalog))
+    return pattern_table(_with_rules(with_sessions(rows, combo_session_complete(rows, catalog)), catalog, rows))
 
 
 def pattern_table(ruled: DataFrame) -> DataFrame:
