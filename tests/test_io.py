@@ -171,3 +171,11 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         sinks.delete_tables(spark, "left_b")
         sinks.delete_tables(spark, ["right_b"])
+
+
+def test_mixed_dates_work_each_step_out_once(spark):
+    from promolens.sources.dates import mixed_moment
+
+    df = spark.createDataFrame([("2024-01-02T03:04:05+01:30",)], "d string")
+    text = df.select(mixed_moment(df.d).alias("m"))._jdf.queryExecution().analyzed().toString()
+    assert text.count("trim(") == 1 and text.count("regexp_extract(") == 1 and text.count("regexp_replace(") < 20
