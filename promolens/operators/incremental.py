@@ -64,5 +64,6 @@ def changed_groups(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def of_groups(rows: DataFrame, groups: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows of the groups, or with ``left_anti`` all others."""
-    return rows.join(groups, GROUP, how)
+    """Rows of the groups, or with ``left_anti`` all others. Groups grow with the events, so they are merged: packed in
+    their files they look small enough to be broadcast, which passes them through the driver."""
+    return rows.join(groups.hint("merge"), GROUP, how)

@@ -134,3 +134,14 @@ def test_changed_groups(spark):
     before, after = day_states(one, CFG), day_states(two, CFG)
     assert [r.user_pseudo_id for r in changed_groups(before, after).collect()] == ["b"]
     assert changed_groups(before, before).collect() == []
+
+
+def test_groups_do_not_pass_through_the_driver(spark):
+    from promolens.operators.attempts import GROUP
+    from promolens.operators.incremental import of_groups
+
+    rows = spark.range(5).selectExpr(*[f"id as {c}" for c in GROUP], "id as n")
+    for how in ("left_semi", "left_anti"):
+        got = of_groups(rows, rows.where("n < 2").select(*GROUP), how)
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == (2 if how == "left_semi" else 3)
