@@ -1,7 +1,10 @@
 """Similarity join of documents on word shingles, by an R-tree over count vectors.
 
-A text becomes its set of shingles. Equal sets are one set. Sets meet in three steps, each without loss:
+A text becomes its set of shingles. Equal sets are one set. Sets meet in four steps, each without loss:
 
+0. Candidates. Two linked sets share at least num / den of the elements of either, so a set of which fewer shingles occur
+   in other texts is linked with none. Which do is counted by ``rounds`` over short names: a name that two shingles share
+   by chance only lets a set pass.
 1. Clusters. The shingles of a set are hashed into more parts than two linked sets can differ in, so linked sets have a
    part in common (see ``Parts``). Which parts occur twice is counted by ``rounds``; sets with a common part make a
    cluster, a superset of the groups looked for.
@@ -165,6 +168,21 @@ def _sets_again(rule: Rule, parts: Parts):
     return run
 
 
+def candidates(text: DataFrame, rule: Rule) -> DataFrame:
+    """Keys of the texts (key, text) that may be linked with another set: num / den of their shingles or more occur in
+    another row. Copies count as other rows, so they pass."""
+    items = total_bytes(text) // 6
+
+    def make(part: Block) -> rounds.Cut:
+        shingles, cuts = shingle_sets(part.data, part.cuts, rule.words)
+        return rounds.Cut(part.column("key").to_pylist(), np.diff(cuts), [rounds.Family(shingles, np.arange(len(shingles)))])
+
+    def enough(states: np.ndarray) -> bytes | None:
+        return b"" if rule.den * int((states > 0).sum()) >= rule.num * len(states) else None
+
+    return rounds.marks(text, make, enough, bucket_bits(items), compared=items.bit_length() + 4).select("key")
+
+
 def _shingles(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches):
@@ -306,11 +324,11 @@ def shingle_groups(docs: DataFrame, rule: Rule = Rule(), tile_rows: int = TILE_R
         _, names, at = part_names(shingles, cuts, parts)
         return rounds.Cut(part.column("key").to_pylist(), np.diff(at), [rounds.Family(names, np.arange(len(names)))])
 
-    marked = rounds.marks(text.select("key", "text"), make, lambda s: np.packbits(s > 0).tobytes(), bucket_bits(total_bytes(docs) // 14))
-    # One text stands for each set; a text that is marked only for its copies loses its parts in the aggregation below.
-    chosen = marked.join(sets.select("key", "uid"), "key")
-    one = text.join(chosen, "key").dropDuplicates(["key"])
-    named = keep(one.select("uid", "marks", "text").mapInArrow(_sets_again(rule, parts), "uid long, part long").distinct(), "parts", release=True)
+    # One text stands for each set.
+    able = sets.join(candidates(text.select("key", "text"), rule), "key").select("key", "uid")
+    one = keep(text.select("key", "text").join(able, "key").dropDuplicates(["key"]), "candidates", release=True)
+    marked = rounds.marks(one.select("key", "text"), make, lambda s: np.packbits(s > 0).tobytes(), bucket_bits(total_bytes(one) // 14))
+    named = keep(one.join(marked, "key").select("uid", "marks", "text").mapInArrow(_sets_again(rule, parts), "uid long, part long").distinct(), "parts", release=True)
     shared = keep(named.groupBy("part").agg(F.min("uid").alias("first"), F.count("*").alias("n")).filter("n > 1").select("part", "first"), "shared")
     star = named.join(shared, "part").filter("uid <> first").select(F.col("uid").alias("a"), F.col("first").alias("b"))
     clusters = components(star).select(F.col("id").alias("uid"), F.col("component").alias("cluster"))
@@ -326,8 +344,7 @@ def shingle_groups(docs: DataFrame, rule: Rule = Rule(), tile_rows: int = TILE_R
     sides = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
     near = sides.join(tiled, "tile").drop("cluster")
     alive = keep(near.groupBy("a", "b").applyInArrow(_alive(rule), "uid long").distinct(), "alive")
-    fetched = text.select("key", "text").join(sets.select("key", "uid").join(alive, "uid"), "key").dropDuplicates(["key"])
-    shingles = keep(fetched.select("uid", "text").mapInArrow(_shingles(rule), "uid long, shingles binary"), "shingles", release=True)
+    shingles = keep(one.join(alive, "uid").select("uid", "text").mapInArrow(_shingles(rule), "uid long, shingles binary"), "shingles", release=True)
     links = near.join(shingles, "uid").groupBy("a", "b").applyInArrow(_linked(rule), "a long, b long")
     found = components(links).select(F.col("id").alias("uid"), F.col("component").alias("root"))
     rooted = sets.join(found, "uid", "left").select("digest", "digest2", "n_shingles", "uid", F.coalesce("root", "uid").alias("root"))

@@ -79,8 +79,13 @@ def _steps(places: np.ndarray) -> np.ndarray:
     return gaps.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
 
 
-def _entries(cut: Cut, bits: int, block: bytes) -> Iterator[tuple[int, bytes, int, bytes]]:
-    width = 8 - bits // 8
+def _width(bits: int, compared: int) -> int:
+    """Bytes of a hash that are sent beside its bucket."""
+    return min(8 - bits // 8, max(1, -(-(compared - bits) // 8)))
+
+
+def _entries(cut: Cut, bits: int, block: bytes, compared: int = 64) -> Iterator[tuple[int, bytes, int, bytes]]:
+    width = _width(bits, compared)
     notes: list[np.ndarray] = [np.frombuffer(b"".join(cut.keys), np.uint8), np.asarray(cut.sizes, np.uint32)]
     for number, f in enumerate(cut.families):
         order = np.argsort(f.hashes, kind="stable")
@@ -114,7 +119,7 @@ def _entries(cut: Cut, bits: int, block: bytes) -> Iterator[tuple[int, bytes, in
     yield int.from_bytes(block[:4], "little") & ((1 << bits) - 1), block, MANIFEST, _pack(notes)
 
 
-def _send(make: Callable[[Block], Cut], bits: int, column: str):
+def _send(make: Callable[[Block], Cut], bits: int, column: str, compared: int = 64):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for number, part in enumerate(blocks(batches, column)):
@@ -122,14 +127,14 @@ def _send(make: Callable[[Block], Cut], bits: int, column: str):
             if not len(cut.keys):
                 continue
             block = hashlib.md5(struct.pack("<QQ", task, number) + b"".join(cut.keys)).digest()
-            rows = list(_entries(cut, bits, block))
+            rows = list(_entries(cut, bits, block, compared))
             yield pa.record_batch([pa.array(list(c), t.type) for c, t in zip(zip(*rows), ROWS)], schema=ROWS)
 
     return run
 
 
-def _answer(bits: int):
-    width = 8 - bits // 8
+def _answer(bits: int, compared: int = 64):
+    width = _width(bits, compared)
 
     def run(group: pa.Table) -> pa.Table:
         out: list[tuple[int, bytes, int, bytes]] = []
@@ -221,14 +226,16 @@ def marks(
     bits: int,
     aux: tuple[bool, ...] = (False,),
     column: str = "text",
+    compared: int = 64,
 ) -> DataFrame:
     """(key, marks) of the texts that hold a repeated hash; texts without one are absent.
 
     ``make`` turns a block into a Cut; ``finish`` turns the states of a text's places into its marks. A text that
     stands in several blocks gets equal marks in each and is returned once. ``aux`` tells which families carry aux. The
-    marks are written, so that a join on the key shuffles both sides for itself and its hot keys can be split.
+    marks are written, so that a join on the key shuffles both sides for itself and its hot keys can be split. With fewer
+    than 64 bits ``compared`` less is sent and some hashes that occur once are told as repeated, none the other way.
     """
-    sent = df.mapInArrow(_send(make, bits, column), ROWS_DDL)
-    told = sent.groupBy("bucket").applyInArrow(_answer(bits), ROWS_DDL)
+    sent = df.mapInArrow(_send(make, bits, column, compared), ROWS_DDL)
+    told = sent.groupBy("bucket").applyInArrow(_answer(bits, compared), ROWS_DDL)
     per_text = told.groupBy("block").applyInArrow(_gather(finish, aux), "key binary, marks binary")
     return keep(per_text.groupBy("key").agg({"marks": "max"}).withColumnRenamed("max(marks)", "marks"), "marks", release=True)

@@ -4,7 +4,8 @@ import re
 import numpy as np
 import pytest
 
-from promolens.llm.jaccard import Parts, Rule, ngram_jaccard, part_names, representatives
+from promolens.llm.common import text_key
+from promolens.llm.jaccard import Parts, Rule, candidates, ngram_jaccard, part_names, representatives
 
 
 def shingles(text, words):
@@ -86,3 +87,15 @@ def test_representatives_and_edges(make_docs):
     got = sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in ngram_jaccard(df).collect())
     assert got == sorted(map(str, [(5, 3, 3), (3, 3, 3), (1, 0, 1), (1, 0, 1), (9, 2, 9), (3, 3, 3), (None, 3, 3)]))
     assert ngram_jaccard(df.limit(0)).count() == 0
+
+
+def test_texts_of_few_shared_shingles_are_no_candidates(make_docs):
+    rng = random.Random(2)
+    common = ["of the people and by the people for the people", "one of the most important of all the things"]
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    plain = [" ".join([word() for _ in range(40)] + [common[i % 2]] + [word() for _ in range(40)]) for i in range(60)]
+    near = [" ".join([*plain[i].split()[:-1], word()]) for i in range(5)]
+    texts = plain + near
+    got = candidates(make_docs(texts).select(text_key().alias("key"), "text"), Rule())
+    want = make_docs(plain[:5] + near).select(text_key().alias("key"))
+    assert {bytes(r.key) for r in got.collect()} == {bytes(r.key) for r in want.collect()}
