@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from promolens.llm import rounds
 from promolens.llm.common import BASE, U64, WORD_BASE, Block, blocks, bucket_bits, keep, mix, ranges_hash, text_key, total_bytes, words_of
 from promolens.llm.graph import Forest, components
+from promolens.session import discard
 
 DIMENSIONS = 128
 TILE_ROWS = 1024
@@ -348,7 +349,9 @@ def shingle_groups(docs: DataFrame, rule: Rule = Rule(), tile_rows: int = TILE_R
     links = near.join(shingles, "uid").groupBy("a", "b").applyInArrow(_linked(rule), "a long, b long")
     found = components(links).select(F.col("id").alias("uid"), F.col("component").alias("root"))
     rooted = sets.join(found, "uid", "left").select("digest", "digest2", "n_shingles", "uid", F.coalesce("root", "uid").alias("root"))
-    return keep(digests.drop("counts").join(rooted, ["digest", "digest2", "n_shingles"]).select("key", "uid", "n_shingles", "root"), "rooted")
+    out = keep(digests.drop("counts").join(rooted, ["digest", "digest2", "n_shingles"]).select("key", "uid", "n_shingles", "root"), "rooted")
+    discard(digests, sets, one, named, shared, points, tiled, tiles, pairs, alive, shingles)
+    return out
 
 
 def ngram_jaccard(docs: DataFrame, rule: Rule = Rule(), tile_rows: int = TILE_ROWS) -> DataFrame:

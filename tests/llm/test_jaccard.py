@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -89,6 +90,15 @@ def test_representatives_and_edges(make_docs):
     assert ngram_jaccard(df.limit(0)).count() == 0
 
 
+def test_spent_folders_go(make_docs, tmp_path, monkeypatch):
+    numbers = itertools.count()
+    monkeypatch.setattr("promolens.session.work_dir", lambda spark: f"{tmp_path}/{next(numbers)}")
+    texts = ["a b c d e f", "a b c d e F g", "other words are here now"]
+    assert representatives(make_docs(texts), Rule()).count() == 3
+    left = {p.name for p in tmp_path.glob("*/*")}
+    assert "rooted" in left and not left & {"digests", "sets", "candidates", "parts", "points", "tiles", "shingles"}
+
+
 def test_texts_of_few_shared_shingles_are_no_candidates(make_docs):
     rng = random.Random(2)
     common = ["of the people and by the people for the people", "one of the most important of all the things"]
