@@ -12,6 +12,8 @@ spans in the texts in which their entity stands; words without digits are remove
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +90,21 @@ def _located(df: DataFrame, name: str, pattern: str, hint: Column) -> DataFrame:
     return df.withColumn(name, F.when(F.size("_rest") > 0, found)).drop("_hits", "_rest")
 
 
+def _hint(kind: str, text: Column) -> Column:
+    return text.rlike("[0-9]") if HINTS[kind] is None else F.contains(text, F.lit(HINTS[kind]))
+
+
+def _has_base(column: str) -> Column:
+    """Whether ``base_spans`` finds anything in a text; nothing is located for that."""
+    text = F.coalesce(F.col(column), F.lit(""))
+
+    def found(kind: str, pattern: str) -> Column:
+        hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        return _hint(kind, text) & F.coalesce(F.exists(hits, lambda m: _fits(kind, m)), F.lit(False))
+
+    return functools.reduce(lambda a, b: a | b, (found(k, p) for k, p in PATTERNS.items()))
+
+
 def _checked(kind: str):
     return lambda z: _fits(kind, z["value"])
 
@@ -105,8 +122,7 @@ def base_spans(df: DataFrame) -> DataFrame:
     """Add ``base``: confirmed matches (kind, start, end, value), by kind as listed, then start; ``df`` has ``text``."""
     names = []
     for number, (kind, pattern) in enumerate(PATTERNS.items()):
-        hint = F.col("text").rlike("[0-9]") if HINTS[kind] is None else F.contains(F.col("text"), F.lit(HINTS[kind]))
-        df = _located(df, f"_{kind}", pattern, hint)
+        df = _located(df, f"_{kind}", pattern, _hint(kind, F.col("text")))
         made = _spans(F.filter(f"_{kind}", _checked(kind)), number)
         df = df.withColumn(f"_{kind}", F.coalesce(made, F.array().cast(SPANS)))
         names.append(f"_{kind}")
@@ -160,8 +176,9 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, alpha: float, support: i
     return near.join(telling, ["entity", "term"], "left_semi").select("key", "term").distinct()
 
 
-def spans_by_text(docs: DataFrame, alpha: float = ALPHA, support: int = ANY, chance: float = CHANCE) -> DataFrame:
-    """(key, spans) of every text with personal data: base spans and, after them, those of disclosing terms."""
+def _found_spans(docs: DataFrame, alpha: float, support: int, chance: float) -> tuple[DataFrame, DataFrame]:
+    """The different texts with personal data (key, text, base, ...) and their spans (key, spans), those of disclosing terms
+    after the base spans."""
     text = docs.select(F.coalesce("text", F.lit("")).alias("text"), text_key().alias("key"))
     based = base_spans(text)
     entities = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"].cast("string"), F.lower(s["value"]))))
@@ -178,7 +195,12 @@ def spans_by_text(docs: DataFrame, alpha: float = ALPHA, support: int = ANY, cha
     none = F.array().cast(SPANS)
     # A term inside a base span needs no span of its own.
     outside = F.filter(F.coalesce("more", none), lambda w: ~F.exists("base", lambda b: (w["start"] < b["end"]) & (w["end"] > b["start"])))
-    return keep(found.select("key", "base").join(termed, "key", "left").select("key", F.concat("base", outside).alias("spans")), "spans")
+    return found, keep(found.select("key", "base").join(termed, "key", "left").select("key", F.concat("base", outside).alias("spans")), "spans")
+
+
+def spans_by_text(docs: DataFrame, alpha: float = ALPHA, support: int = ANY, chance: float = CHANCE) -> DataFrame:
+    """(key, spans) of every text with personal data: base spans and, after them, those of disclosing terms."""
+    return _found_spans(docs, alpha, support, chance)[1]
 
 
 def _listed(spans: Column) -> Column:
@@ -213,7 +235,8 @@ def redact(docs: DataFrame, alpha: float = ALPHA, support: int = ANY, chance: fl
 
     Texts without spans, nulls included, stay as they are, and so do all other columns.
     """
-    spans = spans_by_text(docs, alpha, support, chance).withColumnRenamed("key", "_key").withColumnRenamed("spans", "_spans")
+    found, spans = _found_spans(docs, alpha, support, chance)
+    texts = found.select("key", "text").join(spans.withColumnRenamed("spans", "_spans"), "key")
     ordered = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
     state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     labels = F.array(*(F.lit(LABELS[k]) for k in KINDS))
@@ -225,9 +248,10 @@ def redact(docs: DataFrame, alpha: float = ALPHA, support: int = ANY, chance: fl
         )
 
     finish = lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
-    joined = docs.withColumn("_key", text_key()).join(spans, "_key", "left")
-    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.aggregate(ordered, state, step, finish))
-    return joined.withColumn("text", clean).select(*docs.columns)
+    # Whether a text has spans shows in the text itself: terms are told only beside base spans. So only redacted texts move.
+    cleaned = texts.select(F.col("key").alias("_key"), F.aggregate(ordered, state, step, finish).alias("_clean"))
+    redacted = docs.withColumn("_key", text_key()).drop("text").join(cleaned, "_key").withColumnRenamed("_clean", "text")
+    return docs.filter(~_has_base("text")).unionByName(redacted.select(*docs.columns))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -176,8 +176,8 @@ def _split(length: int):
                         open_[i] = np.stack([low[a:b][left], high[a:b][left], again], 1).astype(np.int32).tobytes()
             ids = pa.array([o is not None for o in open_])
             yield pa.record_batch(
-                [part.column("row"), part.column("key"), part.column("text"), pa.array(spans, pa.binary()), pa.array(open_, pa.binary()), ids],
-                names=["row", "key", "text", "spans", "open", "pending"],
+                [part.column("row"), part.column("key"), part.column("text"), part.column("passages"), pa.array(spans, pa.binary()), pa.array(open_, pa.binary()), ids],
+                names=["row", "key", "text", "passages", "spans", "open", "pending"],
             )
 
     return run
@@ -196,6 +196,8 @@ def _open_places(part: Block):
 def _bytes_of_words(part: Block) -> list[bytes]:
     """The ``passages`` of a block, pairs of word numbers, as byte ranges up to the next word."""
     told = part.column("passages").to_pylist()
+    if not any(told):
+        return [b""] * len(part)
     words = words_of(part.data, part.cuts, hashed=False)
     counts = np.array([len(p) // 8 if p else 0 for p in told], np.int64)
     pairs = np.frombuffer(b"".join(p for p in told if p), np.int32).reshape(-1, 2) + np.repeat(words.cuts[:-1], counts)[:, None]
@@ -213,9 +215,7 @@ def _remove(cut_passages: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, limit=STEP):
             spans, more = part.column("spans").to_pylist(), part.column("more").to_pylist()
-            passages: list[bytes] = [b""] * len(part)
-            if "passages" in part.batch.schema.names:
-                passages = _bytes_of_words(part)
+            passages = _bytes_of_words(part)
             passed = [np.frombuffer(p, np.int32).reshape(-1, 2) for p in passages]
             if cut_passages:
                 more = [(b or b"") + p for b, p in zip(more, passages)]
@@ -258,12 +258,15 @@ def _deduped(docs: DataFrame, row: Column, threshold: int, words: int | None = N
         raise ValueError("threshold must be at least 144")
     bits = bucket_bits(total_bytes(docs) // 16)
     if words is not None:  # first, so that its shuffle is gone before the next one
-        passages = keep(repeated_word_spans(docs, words), "passages", release=True).withColumnRenamed("marks", "passages")
+        passages = repeated_word_spans(docs, words).withColumnRenamed("marks", "passages")
     keyed = docs.select(row.alias("row"), F.coalesce("text", F.lit("")).alias("text"), text_key().alias("key"))
     told = _segment_marks(keyed.select("key", "text"), threshold, bits)
+    told = told.join(passages, "key", "full") if words is not None else told.withColumn("passages", F.lit(None).cast("binary"))
     kind = StructType([StructField("row", keyed.schema["row"].dataType)])
-    middle = StructType(kind.fields + _parse("key binary, text string, spans binary, open binary, pending boolean"))
-    split = keep(keyed.join(told, "key", "left").select("row", "key", "text", "marks").mapInArrow(_split(threshold), middle), "suffix-split", release=True)
+    middle = StructType(kind.fields + _parse("key binary, text string, passages binary, spans binary, open binary, pending boolean"))
+    # Marks grow with the texts, so they are never broadcast; whole texts move once for both kinds of marks.
+    joined = keyed.join(told.hint("merge"), "key", "left").select("row", "key", "text", "marks", "passages")
+    split = keep(joined.mapInArrow(_split(threshold), middle), "suffix-split", release=True)
 
     def make(part: Block) -> rounds.Cut:
         places, again = _open_places(part)
@@ -276,11 +279,9 @@ def _deduped(docs: DataFrame, row: Column, threshold: int, words: int | None = N
 
     pending = split.filter("pending")
     more = rounds.marks(pending.select("key", "text", "open"), make, finish, bits).withColumnRenamed("marks", "more")
-    ready = split.filter("not pending").select("row", "key", "text", "spans", F.lit(None).cast("binary").alias("more"))
-    both = ready.unionByName(pending.join(more, "key", "left").select("row", "key", "text", "spans", "more"))
-    if words is not None:
-        both = both.join(passages, "key", "left")
-    both = both.drop("key")
+    columns = ["row", "text", "passages", "spans"]
+    ready = split.filter("not pending").select(*columns, F.lit(None).cast("binary").alias("more"))
+    both = ready.unionByName(pending.join(more.hint("merge"), "key", "left").select(*columns, "more"))
     return both.mapInArrow(_remove(cut_passages), StructType(kind.fields + _parse(RESULT)))
 
 

@@ -5,7 +5,7 @@ import re
 from collections import defaultdict
 
 import corpus_pipeline
-from promolens.llm.pii import op9_pii, personal_data, redact
+from promolens.llm.pii import _has_base, op9_pii, personal_data, redact
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -143,3 +143,14 @@ def test_rare_words_are_no_evidence_and_true_company_is(make_docs):
     held = [i for i in range(900) if base(texts[i])]
     assert sum(len(said[i]) for i in held) <= 0.01 * sum(len(texts[i].split()) for i in held)
     assert all(r.n_spans == r.n_term + len(base(texts[r.doc_id])) for r in rows)
+
+
+def test_only_redacted_texts_move(spark, make_docs):
+    texts = [t for t in TEXTS if len(t or "") < 30_000]
+    got = {r.doc_id: r.has for r in make_docs(texts).select("doc_id", _has_base("text").alias("has")).collect()}
+    assert [got[i] for i in range(len(texts))] == [bool(base(t)) for t in texts] and {True, False} <= set(got.values())
+    # Texts without spans reach the result without an exchange: all of it below the union is filter and projection.
+    plan = redact(make_docs(texts * 2))._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"
+    clean = plan.children().head().toString()
+    assert "Join" not in clean and "Aggregate" not in clean

@@ -57,3 +57,10 @@ def test_short_passages_of_many_words_are_measured_not_cut(make_docs):
     assert [r.kept for r in rows.values() if r.doc_id == 0] == [texts[0]]
     both = {r.doc_id: r for r in suffix_dedup(make_docs(["ab" * 250 + " " + passage, passage]), words=51).collect()}
     assert [(both[i].n_removed, both[i].n_passage_bytes) for i in (0, 1)] == [(500, len(passage)), (0, len(passage))]
+
+
+def test_texts_move_once_for_marks(spark, make_docs, corpus):
+    """Marks of both kinds come to a text in one join, which is the same at every size: no side of it is broadcast."""
+    df = make_docs(corpus)
+    plan = without_repeats(df, words=51)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in plan
