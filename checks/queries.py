@@ -724,7 +724,7 @@ def products_merged(c: Chain) -> DataFrame:
     day = F.to_date(parse_time_text(F.col("DATETIME"))).cast("string").alias(distinct.DAY)
     rows = stage(c.window.select(day, F.col("USER").alias("user_pseudo_id"), F.col("SESION").alias("session_id"), "ITEM"), "items")
     scope = ["user_pseudo_id", "session_id"]
-    store = _by_days(distinct.DistinctStore(c.spark, f"{work_dir(c.spark)}/products", scope, ["ITEM"]), rows)
+    store = _by_days(distinct.DistinctStore(c.spark, f"{work_dir(c.spark)}/products", scope, ["ITEM"], sketched=False), rows)
     early = [f"2024-01-{d:02d}" for d in range(1, 11)]
     both = [n.withColumn("days", F.lit(label)) for label, n in (("all", store.counts()), ("early", store.counts(early)))]
     return both[0].unionByName(both[1])

@@ -97,17 +97,20 @@ class DistinctStore:
 
     Days come in any order and may come again; a day replaces what it brought and leaves the files of the others. Numbers
     of members that no day holds any more stay taken. ``broadcast_rows`` bounds the number table that is sent to tasks.
+    ``sketched=False`` keeps the exact states alone; such a store gives no estimates. That suits scopes with few members
+    each, where a sketch costs more than the words.
     """
 
-    def __init__(self, spark: SparkSession, path: str, scope: Iterable[str], member: Iterable[str], lg_k: int = LG_K, broadcast_rows: int = 200_000):
+    def __init__(self, spark: SparkSession, path: str, scope: Iterable[str], member: Iterable[str], lg_k: int = LG_K, broadcast_rows: int = 200_000, sketched: bool = True):
         self.scope, self.member, self.lg_k, self.broadcast_rows = list(scope), list(member), lg_k, broadcast_rows
+        self.sketched = sketched
         self._numbers = VersionedTable(spark, f"{path.rstrip('/')}/numbers")
         self._words = VersionedTable(spark, f"{path.rstrip('/')}/words")
         self._sketches = VersionedTable(spark, f"{path.rstrip('/')}/sketches")
 
     def put(self, days: Iterable[str], rows: DataFrame) -> None:
         """Add or replace ``days`` (dates as text) by ``rows``, whose column ``day`` holds them as text; a day without rows
-        loses what it had. ``rows`` is read four times, so it should be a stored table.
+        loses what it had. ``rows`` is read up to four times, so it should be a stored table.
 
         Numbers are committed before the words that use them, so an update that stops is finished by repeating it.
         """
@@ -118,12 +121,14 @@ class DistinctStore:
         batch = uuid.uuid4().hex
         self._numbers.replace_partitions(new.withColumn(BATCH, F.lit(batch)), BATCH, [batch], tuple(self.member))
         numbers = self._numbers.read().drop(BATCH)
-        # One row per day, scope and member before the join, so repeated rows do not move.
-        seen = rows.dropna(subset=self.member).distinct()
         bounded = fits(numbers, self.broadcast_rows)
+        # Where rows move for the join, one per day, scope and member does; else the words are combined in place.
+        seen = rows.dropna(subset=self.member)
+        seen = seen if bounded else seen.distinct()
         numbered = lookup_join(seen, numbers, self.member, "inner", bounded, [DAY, *self.scope, *self.member])
         self._words.replace_partitions(member_words(numbered, self.scope), DAY, days, tuple(self.scope))
-        self._sketches.replace_partitions(member_sketches(rows, self.scope, self.member, self.lg_k), DAY, days, tuple(self.scope))
+        if self.sketched:
+            self._sketches.replace_partitions(member_sketches(rows, self.scope, self.member, self.lg_k), DAY, days, tuple(self.scope))
 
     def counts(self, days: Iterable[str] | None = None) -> DataFrame:
         """(scope, n) over ``days``, or all; exact. A scope whose members are all NULL has no row."""
@@ -131,4 +136,6 @@ class DistinctStore:
 
     def estimates(self, days: Iterable[str] | None = None) -> DataFrame:
         """(scope, n) over ``days``, or all; estimated."""
+        if not self.sketched:
+            raise ValueError("this store keeps no sketches")
         return count_sketches(self._sketches.read(partitions=days), self.scope)

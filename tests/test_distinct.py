@@ -65,3 +65,15 @@ def test_rates(spark):
     n = spark.createDataFrame([("session", 8), ("cart", 4), ("checkout", 2)], "stage string, n bigint")
     assert tuple(rates_of(n).first()) == (8, 0.5, 0.0, 0.0)
     assert tuple(rates_of(n.where("false")).first()) == (0, None, None, None)
+
+
+def test_a_store_may_keep_exact_states_alone(spark, tmp_path):
+    rows = spark.createDataFrame(ROWS, DDL)
+    days = sorted({r[0] for r in ROWS})
+    for broadcast_rows in (0, 1000):
+        store = DistinctStore(spark, str(tmp_path / f"s{broadcast_rows}"), ["u"], ["item", "kind"], broadcast_rows=broadcast_rows, sketched=False)
+        store.put(days, rows)
+        assert found(store.counts()) == expected(ROWS, days)
+        assert not store._sketches.versions()
+        with pytest.raises(ValueError):
+            store.estimates()
